@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from kinelake.llm.chat import op9_chat_format
+from kinelake.llm.quality import op6_quality_rules
+from kinelake.llm.secrets import op7_secret_scans
 from kinelake.llm.sharding import op3_shuffle_shards
 from kinelake.llm.urls import op8_url_filter
 
-QUERIES = {f.__name__: f for f in (op3_shuffle_shards, op8_url_filter, op9_chat_format)}
+QUERIES = {f.__name__: f for f in (op3_shuffle_shards, op6_quality_rules, op7_secret_scans, op8_url_filter, op9_chat_format)}
 ORACLES: dict[str, str] = {}

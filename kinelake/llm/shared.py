@@ -68,3 +68,31 @@ def in_bitmap(words: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """For longs (as int64 or uint64), whether the bit is set. ``len(bits) * 8`` must be a power of two."""
     at = words.astype(np.uint64) & np.uint64(len(bits) * 8 - 1)
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 != 0
+
+
+# --- array helpers, JVM-side ---
+
+
+def let(value, body):
+    """``body(value)`` with the value computed once: a lambda variable is never inlined."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def steps(n):
+    """0 .. n-1, empty where n < 1."""
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def running_sums(numbers, block: int = 256):
+    """Sums before each entry of an array of ints. By blocks, as growing one array entry by entry costs its square."""
+
+    def plain(a, first):
+        begin = F.struct(first.alias("next"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(a, begin, lambda s, x: F.struct((s["next"] + x).alias("next"), F.concat(s["out"], F.array(s["next"])).alias("out")))["out"]
+
+    def blocked(a):
+        blocks = F.transform(steps(F.ceil(F.size(a) / block).cast("int")), lambda b: F.slice(a, b * block + 1, F.lit(block)))
+        sums = lambda bs: plain(F.transform(bs, lambda b: F.aggregate(b, F.lit(0), lambda s, x: s + x)), F.lit(0))
+        return let(blocks, lambda bs: F.flatten(F.zip_with(bs, sums(bs), plain)))
+
+    return let(numbers, blocked)
