@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from kinelake.llm.shared import bitmap, in_bitmap, partitions, table
 from kinelake.llm.words import WordHashes, joined, mix, runs, texts_of
 
-WINDOW, BITS, FLUSH_WORDS = 20, 1 << 26, 1_500_000
+WINDOW, BITS, FLUSH_WORDS = 20, 1 << 26, 500_000
 
 
 class _Part:
