@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from kinelake.llm import oracles
 from kinelake.llm.chat import op9_chat_format
 from kinelake.llm.decontamination import op5_decontaminate
 from kinelake.llm.jaccard import op2_jaccard_join
@@ -14,4 +15,4 @@ from kinelake.llm.toxicity import op1_toxicity
 from kinelake.llm.urls import op8_url_filter
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_jaccard_join, op3_shuffle_shards, op4_pack_sequences, op5_decontaminate, op6_quality_rules, op7_secret_scans, op8_url_filter, op9_chat_format, op10_substring_dedup)}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op2_jaccard_join": oracles.OP2, "op5_decontaminate": oracles.OP5, "op10_substring_dedup": oracles.OP10}
