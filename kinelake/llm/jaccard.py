@@ -22,7 +22,7 @@ from kinelake.llm.shared import bitmap, in_bitmap, partitions, stored, table
 from kinelake.llm.substrings import _shard, _split
 from kinelake.llm.words import WordHashes, mix, runs, texts_of
 
-GRAM, PERCENT, MANY, ORDERS, BITS, FLUSH_TOKENS = 5, 75, 8, 3, 1 << 26, 2_000_000
+GRAM, PERCENT, MANY, ORDERS, BITS, FLUSH_TOKENS = 5, 75, 8, 3, 1 << 26, 1_000_000
 _SEEDS = [np.uint64(s) for s in (0, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 
 
@@ -40,22 +40,8 @@ def _sets(batches, gram: int):
 
 
 def _sign(s: np.ndarray) -> tuple[int, int]:
-    """128 bits that equal sets have in common."""
-    return tuple(int(mix(s ^ k).sum(dtype=np.uint64).astype(np.int64)) for k in _SEEDS[1:3])
-
-
-def _signatures(docs: DataFrame, gram: int) -> DataFrame:
-    def sign(batches):
-        rows: list[tuple] = []
-        for key, s in _sets(batches, gram):
-            rows.append((key, len(s), *_sign(s)))
-            if len(rows) >= 10_000:
-                yield pa.RecordBatch.from_pylist([dict(zip(("doc_id", "n_shingles", "s1", "s2"), r, strict=True)) for r in rows], schema=kind)
-                rows = []
-        yield pa.RecordBatch.from_pylist([dict(zip(("doc_id", "n_shingles", "s1", "s2"), r, strict=True)) for r in rows], schema=kind)
-
-    kind = pa.schema([(c, pa.int64()) for c in ("doc_id", "n_shingles", "s1", "s2")])
-    return docs.mapInArrow(sign, "doc_id long, n_shingles long, s1 long, s2 long")
+    """128 bits that equal sets have in common; the entries are spread evenly already."""
+    return int(s.sum(dtype=np.uint64).astype(np.int64)), int((s * s).sum(dtype=np.uint64).astype(np.int64))
 
 
 def token_bitmaps(docs: DataFrame, gram: int = GRAM, many: int = MANY, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -118,37 +104,48 @@ def prefix(shared: np.ndarray, is_many: np.ndarray, n: int, order: int, percent:
     return shared[np.lexsort((mix(shared ^ _SEEDS[order]), is_many))[:places]]
 
 
-def _candidates(docs: DataFrame, shared, many, gram: int, percent: int) -> DataFrame:
-    """``doc_id, n, shared`` (bytes), ``rare`` (share of tokens that few have) of the documents that have shared tokens enough."""
+def _signed_sets(docs: DataFrame, shared, many, gram: int, percent: int) -> DataFrame:
+    """``doc_id, n_shingles, s1, s2`` of every row; of those with shared tokens enough also ``shared`` (bytes) and ``rare`` (share of tokens that few have)."""
 
     def pick(batches):
         rows: list[tuple] = []
         for key, s in _sets(batches, gram):
-            if len(s):
-                mine = s[in_bitmap(s, shared.value)]
-                if len(mine) >= least_overlap(len(s), percent):
-                    rows.append((key, len(s), mine.tobytes(), 1 - float(in_bitmap(mine, many.value).sum()) / len(s)))
+            mine = s[in_bitmap(s, shared.value)]
+            if len(s) and len(mine) >= least_overlap(len(s), percent):
+                rows.append((key, len(s), *_sign(s), mine.tobytes(), 1 - float(in_bitmap(mine, many.value).sum()) / len(s)))
+            else:
+                rows.append((key, len(s), *_sign(s), None, None))
             if len(rows) >= 1000:
-                yield pa.RecordBatch.from_pylist([dict(zip(kind.names, r, strict=True)) for r in rows], schema=kind)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kind.types, strict=True)], schema=kind)
                 rows = []
-        yield pa.RecordBatch.from_pylist([dict(zip(kind.names, r, strict=True)) for r in rows], schema=kind)
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kind.types, strict=True)], schema=kind)
 
-    kind = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("shared", pa.binary()), ("rare", pa.float64())])
-    return docs.select("doc_id", "text").mapInArrow(pick, "doc_id long, n long, shared binary, rare double")
+    kind = pa.schema([*[(c, pa.int64()) for c in ("doc_id", "n_shingles", "s1", "s2")], ("shared", pa.binary()), ("rare", pa.float64())])
+    return docs.select("doc_id", "text").mapInArrow(pick, "doc_id long, n_shingles long, s1 long, s2 long, shared binary, rare double")
 
 
 def _postings(cands: DataFrame, many, percent: int) -> DataFrame:
-    """``token, doc_id, n, rare`` of the prefixes under the first order."""
+    """``token, doc_id, n, s`` (shared tokens), ``rare, early`` of the prefixes under the first order.
+
+    Sets of which the other is no smaller must overlap more, so they meet in a shorter prefix of the smaller: ``early``.
+    """
+
+    def early(n: int) -> int:
+        return -(-2 * percent * n // (100 + percent))
 
     def post(batches):
         for batch in batches:
-            for key, n, raw, rare in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
-                mine = np.frombuffer(raw, np.uint64)
-                tokens = prefix(mine, in_bitmap(mine, many.value), n, 0, percent)
-                k = len(tokens)
-                yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array([key] * k, pa.int64()), pa.array([n] * k, pa.int64()), pa.array([rare] * k, pa.float64())], names=["token", "doc_id", "n", "rare"])
+            for lo in range(0, batch.num_rows, 512):
+                out: list[list] = [[], [], [], [], [], []]
+                for key, n, raw, rare in zip(*[batch.slice(lo, 512).column(i).to_pylist() for i in range(4)], strict=True):
+                    mine = np.frombuffer(raw, np.uint64)
+                    tokens = prefix(mine, in_bitmap(mine, many.value), n, 0, percent)
+                    for column, v in zip(out, (tokens.view(np.int64), *[np.full(len(tokens), x) for x in (key, n, len(mine), rare)], np.arange(len(tokens)) < len(mine) - early(n) + 1), strict=True):
+                        column.append(v)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["token", "doc_id", "n", "s", "rare", "early"])
 
-    return cands.mapInArrow(post, "token long, doc_id long, n long, rare double")
+    return cands.select("doc_id", "n", "shared", "rare").mapInArrow(post, "token long, doc_id long, n long, s long, rare double, early boolean")
 
 
 def verified(pairs: DataFrame, cands: DataFrame, many, orders: int, percent: int) -> DataFrame:
@@ -156,16 +153,16 @@ def verified(pairs: DataFrame, cands: DataFrame, many, orders: int, percent: int
 
     def verify(batches):
         for batch in batches:
-            a, b, na, nb, sa, sb = (batch.column(i).to_pylist() for i in range(6))
-            good = []
-            for k in range(len(a)):
-                x, y = np.frombuffer(sa[k], np.uint64), np.frombuffer(sb[k], np.uint64)
-                mx, my = in_bitmap(x, many.value), in_bitmap(y, many.value)
-                if all(len(np.intersect1d(prefix(x, mx, na[k], o, percent), prefix(y, my, nb[k], o, percent), assume_unique=True)) for o in range(1, orders)):
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    if 100 * common >= percent * (na[k] + nb[k] - common):
-                        good.append(k)
-            yield pa.RecordBatch.from_arrays([pa.array([a[k] for k in good], pa.int64()), pa.array([b[k] for k in good], pa.int64())], names=["a", "b"])
+            good: list[tuple[int, int]] = []
+            for lo in range(0, batch.num_rows, 256):
+                for a, b, na, nb, sa, sb in zip(*[batch.slice(lo, 256).column(i).to_pylist() for i in range(6)], strict=True):
+                    x, y = np.frombuffer(sa, np.uint64), np.frombuffer(sb, np.uint64)
+                    mx, my = in_bitmap(x, many.value), in_bitmap(y, many.value)
+                    if all(len(np.intersect1d(prefix(x, mx, na, o, percent), prefix(y, my, nb, o, percent), assume_unique=True)) for o in range(1, orders)):
+                        common = len(np.intersect1d(x, y, assume_unique=True))
+                        if 100 * common >= percent * (na + nb - common):
+                            good.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([g[i] for g in good], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     left = cands.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"))
     right = cands.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb"))
@@ -181,27 +178,33 @@ def jaccard_components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT
     ``doc_id`` joins the component of its text; an empty table stays empty; other columns are not looked at.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = stored(_signatures(rows, gram), "signatures")
-    classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("first"))
     context = docs.sparkSession.sparkContext
     shared, many = (context.broadcast(b) for b in token_bitmaps(rows, gram, MANY, bits))  # bits / 8 bytes at any size
+    signed = stored(_signed_sets(rows, shared, many, gram, percent), "sets")
+    classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("first"))
     firsts = classes.select(F.col("first").alias("doc_id")).distinct()
-    found = _candidates(rows.where("doc_id is not null"), shared, many, gram, percent)
+    found = signed.where("shared is not null and doc_id is not null").select("doc_id", F.col("n_shingles").alias("n"), "shared", "rare")
     cands = stored(found.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidates")
     posts = stored(_postings(cands, many, percent), "postings")
+
+    def may_link(n, s, m, t):
+        """The overlap is at most the fewer shared tokens, the union at least the more and the tokens of either alone."""
+        return 100 * F.least(s, t) >= percent * (n - s + m - t + F.greatest(s, t))
+
     # the most typical document of each token's group: few tokens of its own, then the smallest id
-    centre = posts.groupBy("token").agg(F.min(F.struct("rare", "doc_id")).alias("c"), F.count("*").alias("k")).where("k > 1")
-    close = lambda x, y: (100 * F.col(x) >= percent * F.col(y)) & (100 * F.col(y) >= percent * F.col(x))
-    star = posts.join(centre.select("token", F.col("c.doc_id").alias("centre")), "token").where("doc_id <> centre")
+    centre = posts.groupBy("token").agg(F.min(F.struct("rare", "doc_id", "n", "s")).alias("c"), F.count("*").alias("k")).where("k > 1")
+    star = posts.join(centre.select("token", F.col("c.doc_id").alias("centre"), F.col("c.n").alias("cn"), F.col("c.s").alias("cs")), "token")
+    star = star.where((F.col("doc_id") != F.col("centre")) & may_link(F.col("n"), F.col("s"), F.col("cn"), F.col("cs")))
     pairs = stored(star.select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")).distinct(), "pairs")
     links = stored(verified(pairs, cands, many, orders, percent), "links")
     placed = posts.join(components(links).withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     placed = stored(placed, "placed")
     open_tokens = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
     rest = placed.join(open_tokens, "token")
-    other = rest.select("token", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    across = rest.select("token", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca")).join(other, "token")
-    more = across.where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & close("na", "nb")).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    left = rest.where("early").select("token", *[F.col(c).alias(d) for c, d in (("doc_id", "a"), ("n", "na"), ("s", "sa"), ("component", "ca"))])
+    right = rest.select("token", *[F.col(c).alias(d) for c, d in (("doc_id", "b"), ("n", "nb"), ("s", "sb"), ("component", "cb"))])
+    across = left.join(right, "token").where((F.struct("na", "a") < F.struct("nb", "b")) & (F.col("ca") != F.col("cb")) & may_link(F.col("na"), F.col("sa"), F.col("nb"), F.col("sb")))
+    more = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     edges = links.unionByName(verified(stored(more, "across"), cands, many, orders, percent))
     by_first = components(edges).withColumnRenamed("node", "first")
     named = classes.join(by_first, "first", "left").select("s1", "s2", "n_shingles", F.coalesce("component", "first").alias("component"))

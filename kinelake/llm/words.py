@@ -13,7 +13,7 @@ class WordHashes(dict):
     """64-bit hashes of words, kept for the frequent ones; emptied when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) >= 250_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
