@@ -146,9 +146,9 @@ def judge(docs: DataFrame, labels: DataFrame, tolerated: float = TOLERATED, leve
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose document is kept, with their columns."""
-    good = judge(docs, labels).where("kept").select("doc_id").distinct()
-    return docs.join(good, "doc_id", "left_semi").select(docs.columns)
+    """The rows of ``docs`` whose ``doc_id`` (null is one too) is judged kept, with their columns; of rows that share one, any decides for all."""
+    good = judge(docs, labels).where("kept").select(F.col("doc_id").alias("_kl_id")).distinct()
+    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("_kl_id")), "left_semi").select(docs.columns)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

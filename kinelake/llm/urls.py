@@ -59,17 +59,17 @@ def _features(host: str, path: str) -> np.ndarray:
 
 
 @lru_cache(maxsize=4)
-def train(rows: tuple[tuple[str, int], ...], steps: int = 400, rate: float = 3.0, l2: float = 1e-4) -> tuple[tuple[float, ...], float]:
-    """Weights and bias by gradient descent on at most ``MAX_LABELLED`` labelled rows (more raise an error)."""
+def train(rows: tuple[tuple[str, int], ...], steps: int = 600, rate: float = 8.0, l2: float = 1e-4, scale: float = 20.0) -> tuple[tuple[float, ...], float]:
+    """Weights and bias by gradient descent, both classes weighing the same, on at most ``MAX_LABELLED`` labelled rows (more raise an error)."""
     if len(rows) > MAX_LABELLED:
         raise ValueError(f"the labelled table may have {MAX_LABELLED} rows")
-    x, y = np.array([_features(*_split(u)) for u, _ in rows]), np.array([float(v) for _, v in rows])
-    scale = x.std() or 1.0
-    x, w, b = x / scale, np.zeros(DIMS), 0.0
+    x, y = scale * np.array([_features(*_split(u)) for u, _ in rows]), np.array([float(v) for _, v in rows])
+    share = np.clip(y.mean(), 1e-6, 1 - 1e-6)
+    weigh, w, b = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)) / len(y), np.zeros(DIMS), 0.0
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30)))
-        w, b = w - rate * (x.T @ (p - y) / len(y) + l2 * w), b - rate * float(np.mean(p - y))
-    return tuple(np.round(w / scale, 9)), round(b, 9)
+        g = weigh * (1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30))) - y)
+        w, b = w - rate * (x.T @ g + l2 * w), b - 0.3 * rate * float(g.sum())
+    return tuple(np.round(w * scale, 9)), round(b, 9)
 
 
 def host_path(url: Column) -> tuple[Column, Column]:
