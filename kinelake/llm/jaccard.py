@@ -31,10 +31,11 @@ def shingles(words: np.ndarray, gram: int = GRAM) -> np.ndarray:
     return np.unique(mix(runs(words, min(gram, len(words))))) if len(words) else np.zeros(0, np.uint64)
 
 
-def _sets(batches, gram: int):
-    """``doc_id, set`` of rows ``doc_id, text``."""
-    hashes = WordHashes()
+def _sets(batches, gram: int, hashes: WordHashes, wanted: np.ndarray | None = None):
+    """``doc_id, set`` of rows ``doc_id, text``; if given, of those whose ``doc_id`` is in the bitmap."""
     for batch in batches:
+        if wanted is not None:
+            batch = batch.filter(pa.array(in_bitmap(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), wanted)))
         for key, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
             yield key, shingles(hashes.of(text.lower().split()), gram)
 
@@ -44,8 +45,25 @@ def _sign(s: np.ndarray) -> tuple[int, int]:
     return int(s.sum(dtype=np.uint64).astype(np.int64)), int((s * s).sum(dtype=np.uint64).astype(np.int64))
 
 
-def token_bitmaps(docs: DataFrame, gram: int = GRAM, many: int = MANY, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Bitmaps of the tokens of two documents or more, and of ``many`` or more. Equal sets within a task count once.
+def _batch(rows: list[tuple], kind: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(kind)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kind.types, strict=True)], schema=kind)
+
+
+def _signatures(docs: DataFrame, gram: int) -> DataFrame:
+    """``doc_id, n_shingles, s1, s2`` of every row."""
+
+    def sign(batches):
+        for batch in batches:
+            yield _batch([(key, len(s), *_sign(s)) for key, s in _sets([batch], gram, hashes)], kind)
+
+    hashes = WordHashes()
+    kind = pa.schema([(c, pa.int64()) for c in ("doc_id", "n_shingles", "s1", "s2")])
+    return docs.mapInArrow(sign, "doc_id long, n_shingles long, s1 long, s2 long")
+
+
+def token_bitmaps(docs: DataFrame, firsts, gram: int = GRAM, many: int = MANY, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps of the tokens of two documents or more, and of ``many`` or more, counted over the first of equal sets.
 
     Tokens are shuffled as ``width`` bytes, in blocks: as few as keep chance meetings of the expected number rare.
     """
@@ -61,16 +79,14 @@ def token_bitmaps(docs: DataFrame, gram: int = GRAM, many: int = MANY, bits: int
         return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), *[pa.array([o[k] for o in out], pa.binary()) for k in (1, 2, 3)]], names=["shard", "once", "often", "times"])
 
     def emit(batches):
-        sets, seen, total = [], set(), 0
-        for _, s in _sets(batches, gram):
-            if len(s) and (key := _sign(s)) not in seen:
-                seen.add(key)
+        sets, total = [], 0
+        for _, s in _sets(batches, gram, WordHashes(), firsts.value):
+            if len(s):
                 sets.append(s)
                 total += len(s)
             if total >= FLUSH_TOKENS:
                 yield flush(sets)
                 sets, total = [], 0
-                seen = set() if len(seen) > 500_000 else seen
         if sets:
             yield flush(sets)
 
@@ -104,25 +120,22 @@ def prefix(shared: np.ndarray, is_many: np.ndarray, n: int, order: int, percent:
     return shared[np.lexsort((mix(shared ^ _SEEDS[order]), is_many))[:places]]
 
 
-def _signed_sets(docs: DataFrame, shared, many, gram: int, percent: int) -> DataFrame:
-    """``doc_id, n_shingles, s1, s2`` of every row; of those with shared tokens enough also ``shared`` (bytes) and ``rare`` (share of tokens that few have)."""
+def _candidates(docs: DataFrame, firsts, shared, many, gram: int, percent: int) -> DataFrame:
+    """``doc_id, n, shared`` (bytes), ``rare`` (share of tokens that few have) of the documents with shared tokens enough."""
 
     def pick(batches):
         rows: list[tuple] = []
-        for key, s in _sets(batches, gram):
+        for key, s in _sets(batches, gram, WordHashes(), firsts.value):
             mine = s[in_bitmap(s, shared.value)]
             if len(s) and len(mine) >= least_overlap(len(s), percent):
-                rows.append((key, len(s), *_sign(s), mine.tobytes(), 1 - float(in_bitmap(mine, many.value).sum()) / len(s)))
-            else:
-                rows.append((key, len(s), *_sign(s), None, None))
+                rows.append((key, len(s), mine.tobytes(), 1 - float(in_bitmap(mine, many.value).sum()) / len(s)))
             if len(rows) >= 1000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kind.types, strict=True)], schema=kind)
+                yield _batch(rows, kind)
                 rows = []
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kind.types, strict=True)], schema=kind)
+        yield _batch(rows, kind)
 
-    kind = pa.schema([*[(c, pa.int64()) for c in ("doc_id", "n_shingles", "s1", "s2")], ("shared", pa.binary()), ("rare", pa.float64())])
-    return docs.select("doc_id", "text").mapInArrow(pick, "doc_id long, n_shingles long, s1 long, s2 long, shared binary, rare double")
+    kind = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("shared", pa.binary()), ("rare", pa.float64())])
+    return docs.select("doc_id", "text").mapInArrow(pick, "doc_id long, n long, shared binary, rare double")
 
 
 def _postings(cands: DataFrame, many, percent: int) -> DataFrame:
@@ -178,13 +191,15 @@ def jaccard_components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT
     ``doc_id`` joins the component of its text; an empty table stays empty; other columns are not looked at.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    context = docs.sparkSession.sparkContext
-    shared, many = (context.broadcast(b) for b in token_bitmaps(rows, gram, MANY, bits))  # bits / 8 bytes at any size
-    signed = stored(_signed_sets(rows, shared, many, gram, percent), "sets")
+    known = rows.where("doc_id is not null")
+    signed = stored(_signatures(rows, gram), "signatures")
     classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("first"))
-    firsts = classes.select(F.col("first").alias("doc_id")).distinct()
-    found = signed.where("shared is not null and doc_id is not null").select("doc_id", F.col("n_shingles").alias("n"), "shared", "rare")
-    cands = stored(found.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidates")
+    context = docs.sparkSession.sparkContext
+    # three bitmaps of bits / 8 bytes at any size; a false bit in the first lets a copy through
+    firsts = context.broadcast(bitmap(classes, "first", bits))
+    shared, many = (context.broadcast(b) for b in token_bitmaps(known, firsts, gram, MANY, bits))
+    found = _candidates(known, firsts, shared, many, gram, percent)
+    cands = stored(found.join(classes.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidates")
     posts = stored(_postings(cands, many, percent), "postings")
 
     def may_link(n, s, m, t):
