@@ -121,25 +121,25 @@ def prefix(shared: np.ndarray, is_many: np.ndarray, n: int, order: int, percent:
 
 
 def _candidates(docs: DataFrame, firsts, shared, many, gram: int, percent: int) -> DataFrame:
-    """``doc_id, n, shared`` (bytes), ``rare`` (share of tokens that few have) of the documents with shared tokens enough."""
+    """``doc_id, n, shared`` (bytes), ``m`` (tokens that many have) of the documents with shared tokens enough."""
 
     def pick(batches):
         rows: list[tuple] = []
         for key, s in _sets(batches, gram, WordHashes(), firsts.value):
             mine = s[in_bitmap(s, shared.value)]
             if len(s) and len(mine) >= least_overlap(len(s), percent):
-                rows.append((key, len(s), mine.tobytes(), 1 - float(in_bitmap(mine, many.value).sum()) / len(s)))
+                rows.append((key, len(s), mine.tobytes(), int(in_bitmap(mine, many.value).sum())))
             if len(rows) >= 1000:
                 yield _batch(rows, kind)
                 rows = []
         yield _batch(rows, kind)
 
-    kind = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("shared", pa.binary()), ("rare", pa.float64())])
-    return docs.select("doc_id", "text").mapInArrow(pick, "doc_id long, n long, shared binary, rare double")
+    kind = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("shared", pa.binary()), ("m", pa.int64())])
+    return docs.select("doc_id", "text").mapInArrow(pick, "doc_id long, n long, shared binary, m long")
 
 
 def _postings(cands: DataFrame, many, percent: int) -> DataFrame:
-    """``token, doc_id, n, s`` (shared tokens), ``rare, early`` of the prefixes under the first order.
+    """``token, doc_id, n, s`` (shared tokens), ``m`` (those that many have), ``early`` of the prefixes under the first order.
 
     Sets of which the other is no smaller must overlap more, so they meet in a shorter prefix of the smaller: ``early``.
     """
@@ -151,14 +151,14 @@ def _postings(cands: DataFrame, many, percent: int) -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 out: list[list] = [[], [], [], [], [], []]
-                for key, n, raw, rare in zip(*[batch.slice(lo, 512).column(i).to_pylist() for i in range(4)], strict=True):
+                for key, n, raw, m in zip(*[batch.slice(lo, 512).column(i).to_pylist() for i in range(4)], strict=True):
                     mine = np.frombuffer(raw, np.uint64)
                     tokens = prefix(mine, in_bitmap(mine, many.value), n, 0, percent)
-                    for column, v in zip(out, (tokens.view(np.int64), *[np.full(len(tokens), x) for x in (key, n, len(mine), rare)], np.arange(len(tokens)) < len(mine) - early(n) + 1), strict=True):
+                    for column, v in zip(out, (tokens.view(np.int64), *[np.full(len(tokens), x) for x in (key, n, len(mine), m)], np.arange(len(tokens)) < len(mine) - early(n) + 1), strict=True):
                         column.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["token", "doc_id", "n", "s", "rare", "early"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["token", "doc_id", "n", "s", "m", "early"])
 
-    return cands.select("doc_id", "n", "shared", "rare").mapInArrow(post, "token long, doc_id long, n long, s long, rare double, early boolean")
+    return cands.select("doc_id", "n", "shared", "m").mapInArrow(post, "token long, doc_id long, n long, s long, m long, early boolean")
 
 
 def verified(pairs: DataFrame, cands: DataFrame, many, orders: int, percent: int) -> DataFrame:
@@ -202,23 +202,26 @@ def jaccard_components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT
     cands = stored(found.join(classes.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidates")
     posts = stored(_postings(cands, many, percent), "postings")
 
-    def may_link(n, s, m, t):
-        """The overlap is at most the fewer shared tokens, the union at least the more and the tokens of either alone."""
-        return 100 * F.least(s, t) >= percent * (n - s + m - t + F.greatest(s, t))
+    def may_link(x: str, y: str):
+        """Of the tokens that many have, and of those that a few have, the overlap is at most the fewer of the two."""
+        n, s, m = (tuple(F.col(c + k) for k in (x, y)) for c in "nsm")
+        overlap = F.least(*m) + F.least(s[0] - m[0], s[1] - m[1])
+        return 100 * overlap >= percent * (n[0] + n[1] - overlap)
+
+    def side(rows: DataFrame, x: str) -> DataFrame:
+        return rows.select("token", F.col("doc_id").alias(x), *[F.col(c).alias(c + x) for c in "nsm"], *[F.col("component").alias("c" + x) for c in rows.columns if c == "component"])
 
     # the most typical document of each token's group: few tokens of its own, then the smallest id
-    centre = posts.groupBy("token").agg(F.min(F.struct("rare", "doc_id", "n", "s")).alias("c"), F.count("*").alias("k")).where("k > 1")
-    star = posts.join(centre.select("token", F.col("c.doc_id").alias("centre"), F.col("c.n").alias("cn"), F.col("c.s").alias("cs")), "token")
-    star = star.where((F.col("doc_id") != F.col("centre")) & may_link(F.col("n"), F.col("s"), F.col("cn"), F.col("cs")))
-    pairs = stored(star.select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")).distinct(), "pairs")
+    centre = posts.groupBy("token").agg(F.min(F.struct((1 - F.col("m") / F.col("n")).alias("rare"), "doc_id", "n", "s", "m")).alias("c"), F.count("*").alias("k"))
+    star = side(posts, "a").join(side(centre.where("k > 1").select("token", "c.*"), "b"), "token").where((F.col("a") != F.col("b")) & may_link("a", "b"))
+    pairs = stored(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     links = stored(verified(pairs, cands, many, orders, percent), "links")
     placed = posts.join(components(links).withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     placed = stored(placed, "placed")
     open_tokens = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
     rest = placed.join(open_tokens, "token")
-    left = rest.where("early").select("token", *[F.col(c).alias(d) for c, d in (("doc_id", "a"), ("n", "na"), ("s", "sa"), ("component", "ca"))])
-    right = rest.select("token", *[F.col(c).alias(d) for c, d in (("doc_id", "b"), ("n", "nb"), ("s", "sb"), ("component", "cb"))])
-    across = left.join(right, "token").where((F.struct("na", "a") < F.struct("nb", "b")) & (F.col("ca") != F.col("cb")) & may_link(F.col("na"), F.col("sa"), F.col("nb"), F.col("sb")))
+    across = side(rest.where("early"), "a").join(side(rest, "b"), "token")
+    across = across.where((F.struct("na", "a") < F.struct("nb", "b")) & (F.col("ca") != F.col("cb")) & may_link("a", "b"))
     more = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     edges = links.unionByName(verified(stored(more, "across"), cands, many, orders, percent))
     by_first = components(edges).withColumnRenamed("node", "first")
