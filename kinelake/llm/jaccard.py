@@ -220,8 +220,9 @@ def jaccard_components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT
     placed = stored(placed, "placed")
     open_tokens = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
     rest = placed.join(open_tokens, "token")
+    # of two sets of one size, that with fewer shared tokens (and so fewer early ones) stands on the early side
     across = side(rest.where("early"), "a").join(side(rest, "b"), "token")
-    across = across.where((F.struct("na", "a") < F.struct("nb", "b")) & (F.col("ca") != F.col("cb")) & may_link("a", "b"))
+    across = across.where((F.struct("na", "sa", "a") < F.struct("nb", "sb", "b")) & (F.col("ca") != F.col("cb")) & may_link("a", "b"))
     more = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     edges = links.unionByName(verified(stored(more, "across"), cands, many, orders, percent))
     by_first = components(edges).withColumnRenamed("node", "first")
