@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinelake.functions.text import chunk_starts, tokens
 
 K1, B, RRF_K, TOP = 1.2, 0.75, 60, 50
+#: rows and queries of a block of vectors
+BLOCK, QUERY_BLOCK = 2048, 512
 
 
 def chunked(docs: DataFrame, size: int = 256, overlap: int = 20) -> DataFrame:
@@ -46,11 +50,45 @@ def ranked(scored: DataFrame, top: int) -> DataFrame:
     return scored.withColumn("rank", rank).where(F.col("rank") < top)
 
 
+def _matrix(column) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
-    """Exact cosine of unit vectors, for a small stated set of queries. ``queries``: ``query_id, embedding``."""
-    dot = F.aggregate(F.zip_with("embedding", "q", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    asked = queries.select("query_id", F.col("embedding").alias("q"))
-    return ranked(vectors.join(asked, how="cross").select("query_id", "doc_id", F.round(dot, 6).alias("score")), top)
+    """Exact cosine of unit vectors of one length, all queries against all rows; null vectors are left out.
+
+    ``queries``: ``query_id, embedding``; they are read when this is called and broadcast (256 bytes each at 64 entries).
+    Rows meet them in blocks, and a task hands on only the ``top`` of every query.
+    """
+    block, some = BLOCK, QUERY_BLOCK
+    asked = queries.where("embedding is not null").select(F.col("query_id").cast("long"), "embedding").toArrow().combine_chunks()
+    held = vectors.sparkSession.sparkContext.broadcast(asked)
+
+    def met(batches):
+        asked = held.value
+        best = {}
+        for batch in batches:
+            for lo in range(0, batch.num_rows, block):
+                rows = batch.slice(lo, block)
+                ids = rows.column(0).to_numpy(zero_copy_only=False)
+                order = np.argsort(ids, kind="stable")
+                ids, matrix = ids[order], _matrix(rows.column(1))[order].T
+                for at in range(0, asked.num_rows, some):
+                    score = np.round(_matrix(asked.column("embedding").slice(at, some).combine_chunks()) @ matrix, 6) + 0.0
+                    near = np.argsort(-score, axis=1, kind="stable")[:, :top]
+                    found = ids[near], np.take_along_axis(score, near, axis=1)
+                    if at in best:
+                        both = [np.concatenate(x, axis=1) for x in zip(best[at], found, strict=True)]
+                        near = np.lexsort((both[0], -both[1]), axis=1)[:, :top]
+                        found = tuple(np.take_along_axis(x, near, axis=1) for x in both)
+                    best[at] = found
+        for at, (ids, score) in best.items():
+            who = asked.column("query_id").slice(at, some).to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (np.repeat(who, ids.shape[1]), ids.ravel(), score.ravel())], names=["query_id", "doc_id", "score"])
+
+    spread = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = vectors.where("embedding is not null").select(F.col("doc_id").cast("long"), "embedding").repartition(spread)
+    return ranked(rows.mapInArrow(met, "query_id long, doc_id long, score double"), top)
 
 
 def fuse(lists: list[DataFrame], k: int = RRF_K, top: int = 10) -> DataFrame:

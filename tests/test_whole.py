@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+from kinelake.operators import retrieval
 from kinelake.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
@@ -43,3 +44,23 @@ def test_all_questions(spark, duck, name):
     got = catalogue.QUERIES[name](spark, SF)
     same(got, duck.sql(uncut(name, *WHOLE_TEXTS)))
     assert {r.query_id for r in got.select("query_id").distinct().collect()} == {0, 20}
+
+
+ALL_VECTORS = (("vec_id < 5", "vec_id % 20 = 0"),)
+
+
+@pytest.mark.parametrize("name", ["knn_topk", "rrf_hybrid"])
+def test_all_vectors(spark, duck, name):
+    same(catalogue.QUERIES[name](spark, SF), duck.sql(uncut(name, *WHOLE_TEXTS, *ALL_VECTORS)))
+
+
+def test_blocks_of_any_size(spark, monkeypatch):
+    """Ties across blocks, blocks of one vector, and fewer rows than the top."""
+    rows = [(i, [float(i % 3), float(i % 5)]) for i in range(40)]
+    v = spark.createDataFrame(rows, "doc_id long, embedding array<float>").repartition(3)
+    q = v.where("doc_id % 7 = 0").withColumnRenamed("doc_id", "query_id")
+    want = {(a, d, s, k) for a, x in rows if a % 7 == 0 for k, (s, d) in enumerate(sorted(((x[0] * y[0] + x[1] * y[1], d) for d, y in rows), key=lambda p: (-p[0], p[1]))[:30])}
+    for sizes in ((1, 1), (7, 2), (8192, 512)):
+        monkeypatch.setattr(retrieval, "BLOCK", sizes[0])
+        monkeypatch.setattr(retrieval, "QUERY_BLOCK", sizes[1])
+        assert {tuple(r) for r in retrieval.nearest(v, q, 30).collect()} == want
