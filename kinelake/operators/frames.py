@@ -125,12 +125,15 @@ def acceleration(v: str = "velocity", ts: str = "ts") -> Column:
     return (F.col(v) - F.lag(v).over(w)) / F.when(total > 0, total / 2).otherwise(1.0)
 
 
-def round_plan(videos: DataFrame, n: int) -> DataFrame:
-    """``video, round_idx, ord, ts_ms``: n hashed steps in each round."""
-    steps = videos.select("video", F.explode(F.sequence(F.lit(1), F.lit(6))).alias("round_idx")).select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("ord"))
+def round_plan(videos: DataFrame) -> DataFrame:
+    """``video, round_idx, ord, ts_ms``: hashed steps in each round from 0 on, as long as they are below ``duration_ms``."""
+    rounds = videos.where("duration_ms > 0").select("video", "duration_ms", F.explode(F.sequence(F.lit(1), F.lit(6))).alias("round_idx"))
+    most = F.ceil(F.col("duration_ms") / min(INTERVAL_CHOICES_MS)).cast("int")
+    steps = rounds.select("*", F.explode(F.sequence(F.lit(0), most - 1)).alias("ord"))
     step = F.when(F.col("ord") == 0, 0).otherwise(250 + 50 * hashed_choice(6, F.col("video"), F.col("round_idx"), F.col("ord")))
     w = Window.partitionBy("video", "round_idx").orderBy("ord")
-    return steps.withColumn("step", step).select("video", "round_idx", "ord", F.sum("step").over(w).alias("ts_ms"))
+    timed = steps.withColumn("step", step).withColumn("ts_ms", F.sum("step").over(w))
+    return timed.where("ts_ms < duration_ms").select("video", "round_idx", "ord", "ts_ms")
 
 
 def plan_deltas(plan: DataFrame) -> DataFrame:

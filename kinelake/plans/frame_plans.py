@@ -160,8 +160,9 @@ _PLAN = "pl as (select video, round_idx, ord, sum(case when ord = 0 then 0 else
 
 @query(f"with {_PLAN} select video, round_idx, ord, ts_ms::bigint as ts_ms from pl")
 def round_plan(spark, sf_dir):
-    videos = read(spark, sf_dir, "events").select(F.col("user_id").alias("video")).distinct()
-    return O.round_plan(videos, 40)
+    """A video is as long as its frames at 20 a second."""
+    videos = read(spark, sf_dir, "events").groupBy(F.col("user_id").alias("video")).agg((F.count("*") * int(1000 / O.FPS)).alias("duration_ms"))
+    return O.round_plan(videos)
 
 
 @query(f"with {_PLAN} select video, round_idx, ord, (lead(ts_ms) over w - ts_ms)::bigint as delta_ms from pl window w as (partition by video, round_idx order by ord) qualify lead(ts_ms) over w is not null")

@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+from kinelake.operators import frames as O
 from kinelake.operators import retrieval
 from kinelake.plans import catalogue
 
@@ -64,3 +65,26 @@ def test_blocks_of_any_size(spark, monkeypatch):
         monkeypatch.setattr(retrieval, "BLOCK", sizes[0])
         monkeypatch.setattr(retrieval, "QUERY_BLOCK", sizes[1])
         assert {tuple(r) for r in retrieval.nearest(v, q, 30).collect()} == want
+
+
+TO_THE_END = (
+    ("(select distinct user_id as video from events), range(1, 7) r(round_idx), range(0, 40) o(ord))", "(select user_id as video, count(*) * 50 as duration_ms from events group by 1), range(1, 7) r(round_idx), range(0, 1000) o(ord) qualify ts_ms < duration_ms)"),
+)
+
+
+@pytest.mark.parametrize("name", ["round_plan", "plan_deltas"])
+def test_plans_to_the_end(spark, duck, name):
+    same(catalogue.QUERIES[name](spark, SF), duck.sql(uncut(name, *TO_THE_END)))
+
+
+def test_plan_of_any_duration(spark):
+    lengths = {1: 0, 2: 1, 3: 250, 4: 251, 5: 90_000, 6: 3_600_000}
+    plan = O.round_plan(spark.createDataFrame(list(lengths.items()), "video long, duration_ms long"))
+    found = {}
+    for r in plan.collect():
+        found.setdefault((r.video, r.round_idx), {})[r.ord] = r.ts_ms
+    assert set(found) == {(v, k) for v in (2, 3, 4, 5, 6) for k in range(1, 7)}
+    for (video, _), times in found.items():
+        assert sorted(times) == list(range(len(times))) and times[0] == 0
+        assert lengths[video] - 500 <= times[len(times) - 1] < lengths[video]
+        assert all(250 <= times[k + 1] - times[k] <= 500 for k in range(len(times) - 1))
