@@ -149,7 +149,7 @@ def annotation_state(spark, sf_dir):
 
 @query(f"""with {FRAMES} select video, frame_idx, round(case when m > 1000 then t / 1000 else t end, 6) as ts from (select video, frame_idx, t, max(t) over (partition by video) as m from (select video, frame_idx, frame_idx * case when video % 2 = 0 then 0.5 else 250.0 end::double as t from fr where frame_idx < 20))""")
 def timestamp_autoscale(spark, sf_dir):
-    f = frames(spark, sf_dir).where("frame_idx < 20").withColumn("t", F.col("frame_idx") * F.when(F.col("video") % 2 == 0, 0.5).otherwise(250.0))
+    f = frames(spark, sf_dir).withColumn("t", F.col("frame_idx") * F.when(F.col("video") % 2 == 0, 0.5).otherwise(250.0))
     lists = f.groupBy("video").agg(F.transform(F.sort_array(F.collect_list(F.struct("frame_idx", "t"))), lambda x: x["t"]).alias("ts"))
     json = F.when(F.col("video") % 3 == 0, F.to_json(F.struct(F.col("ts").alias("timestamps")))).otherwise(F.to_json("ts"))
     return timestamps(lists.select("video", json.alias("json"))).select("video", "frame_idx", F.round("ts", 6).alias("ts"))
@@ -230,8 +230,11 @@ def ready_files(spark, sf_dir):
 
 @query(f"with {FRAMES} select a.video, a.frame_idx, a.event_type, round(b.ts, 6) as ts from fr a join (select * from fr where frame_idx < 30) b using (video, frame_idx)")
 def positional_join(spark, sf_dir):
-    f = frames(spark, sf_dir)
-    return resume.paired(f.select("video", "frame_idx", "event_type"), f.where("frame_idx < 30").select("video", "frame_idx", F.round("ts", 6).alias("ts")), ["video", "frame_idx"])
+    """The list of times has the first half of each video's frames."""
+    from pyspark.sql import Window
+
+    f = frames(spark, sf_dir).withColumn("n", F.count("*").over(Window.partitionBy("video")))
+    return resume.paired(f.select("video", "frame_idx", "event_type"), f.where("2 * frame_idx < n").select("video", "frame_idx", F.round("ts", 6).alias("ts")), ["video", "frame_idx"])
 
 
 @query(f"with {FRAMES} select video, frame_idx from fr where not (frame_idx % 4 = 0)")

@@ -88,3 +88,15 @@ def test_plan_of_any_duration(spark):
         assert sorted(times) == list(range(len(times))) and times[0] == 0
         assert lengths[video] - 500 <= times[len(times) - 1] < lengths[video]
         assert all(250 <= times[k + 1] - times[k] <= 500 for k in range(len(times) - 1))
+
+
+ALL_FRAMES = ((" where frame_idx < 20)", ")"), ("(select * from fr where frame_idx < 30)", "(select * from fr qualify 2 * frame_idx < count(*) over (partition by video))"))
+
+
+@pytest.mark.parametrize("name", ["timestamp_autoscale", "positional_join"])
+def test_all_frames(spark, duck, name):
+    same(catalogue.QUERIES[name](spark, SF), duck.sql(uncut(name, *ALL_FRAMES)))
+
+
+def test_autoscale_has_every_frame(spark):
+    assert catalogue.QUERIES["timestamp_autoscale"](spark, SF).count() == spark.read.parquet(f"{SF}/events.parquet").count()
