@@ -187,8 +187,9 @@ def doc_get(spark, sf_dir):
 
 @query(f"with {_KB} select document_id from dc where document_id < 50 union all select document_id from dc where document_id between 50 and 150 and knowledge_id in (select knowledge_id from kb)")
 def doc_insert_fk(spark, sf_dir):
+    """Documents of even number are there; all others are new."""
     d = _documents(spark, sf_dir)
-    return catalog.insert_document(d.where("document_id < 50"), d.where("document_id between 50 and 150"), _bases(spark, sf_dir)).select("document_id")
+    return catalog.insert_document(d.where("document_id % 2 = 0"), d.where("document_id % 2 <> 0"), _bases(spark, sf_dir)).select("document_id")
 
 
 @query(f"with {_KB} select document_id from dc where document_id >= 40")

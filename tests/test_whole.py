@@ -100,3 +100,13 @@ def test_all_frames(spark, duck, name):
 
 def test_autoscale_has_every_frame(spark):
     assert catalogue.QUERIES["timestamp_autoscale"](spark, SF).count() == spark.read.parquet(f"{SF}/events.parquet").count()
+
+
+EVEN_AND_ODD = (("document_id < 50", "document_id % 2 = 0"), ("document_id between 50 and 150", "document_id % 2 <> 0"))
+
+
+def test_all_documents_are_there_or_new(spark, duck):
+    got = catalogue.QUERIES["doc_insert_fk"](spark, SF)
+    same(got, duck.sql(uncut("doc_insert_fk", *EVEN_AND_ODD)))
+    refused = {r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r.doc_id % 2 and r.doc_id % 30 > 24}
+    assert refused and {r.document_id for r in got.collect()} == {r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").collect()} - refused
