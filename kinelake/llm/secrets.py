@@ -21,15 +21,16 @@ WINDOW = 20
 CANDIDATE = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}"
 #: character class (whole string): least entropy in bits of some window
 CLASSES = (("^[0-9]+$", 9.0), ("^[0-9a-fA-F]+$", 3.0), ("^[A-Za-z0-9]+$", 3.6), ("", 3.8))
-#: strings that are no secrets: words, identifiers without digits, UUIDs, dates and paths
+#: strings that are no secrets, after leading separators: words, identifiers without digits, UUIDs, dates and paths
 ALLOWED = (
     "^[^0-9]+$",
     "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     "^[0-9/_=+-]+$",
     "^/?([a-zA-Z]+[/_=-])+[a-zA-Z0-9]{0,12}$",
     "(?i)(example|sample|placeholder|xxxxxx|000000|123456789)",
-    "^[=_+/-]+|[=_-]{6,}",
+    "^[=_+/-]+$",
 )
+LEADING = "^[=_+/-]+"
 
 
 def entropy(text: Column) -> Column:
@@ -81,13 +82,18 @@ def _found(text: Column, pattern: str, kind: str, group: int = 0) -> Column:
 
 
 def _high_entropy(value: Column) -> Column:
-    least = F.lit(CLASSES[-1][1])
-    for pattern, bits in reversed(CLASSES[:-1]):
-        least = F.when(value.rlike(pattern), F.lit(bits)).otherwise(least)
-    allowed = F.lit(False)
-    for pattern in ALLOWED:
-        allowed = allowed | value.rlike(pattern)
-    return F.when(allowed, False).otherwise(entropy(value) >= least)
+    """By the value after leading separators: flags, npm's ``_auth=`` and base64 that begins with + or / are judged by the rest."""
+
+    def judged(rest):
+        least = F.lit(CLASSES[-1][1])
+        for pattern, bits in reversed(CLASSES[:-1]):
+            least = F.when(rest.rlike(pattern), F.lit(bits)).otherwise(least)
+        allowed = F.lit(False)
+        for pattern in ALLOWED:
+            allowed = allowed | rest.rlike(pattern)
+        return F.when(allowed, False).otherwise(entropy(rest) >= least)
+
+    return let(F.regexp_replace(value, LEADING, ""), judged)
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:

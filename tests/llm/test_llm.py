@@ -320,6 +320,19 @@ def test_secrets(spark):
     assert "[SECRET]" in clean[4].text and clean[4].text.startswith("élan") and clean[4].text.count("550e8400") == 1
 
 
+@pytest.mark.parametrize("value", ["--client-key=q7Zk2Lw9Xv4Tn8Rb3Yc6Md1P", "_auth=q7Zk2Lw9Xv4Tn8Rb3Yc6Md1P", "/q7Zk2Lw9Xv4Tn8Rb3Yc6Md1P+", "+q7Zk2Lw9Xv4Tn8Rb3Yc6Md1P", "q7Zk2Lw9Xv4Tn8Rb3Yc6Md1P======"])
+def test_secrets_after_separators(spark, value):
+    docs = spark.createDataFrame([(1, f"set {value} now")], "doc_id long, text string")
+    assert [tuple(s) for s in secrets.scan_secrets(docs).first().secrets] == [("entropy", 4, 4 + len(value))]
+    assert secrets.redact(docs).first().text == "set [SECRET] now"
+
+
+@pytest.mark.parametrize("value", ["=" * 40, "-_" * 20, "--" + "some-long-option-name-of-words", "/usr/share/local/library/names", "____2024-01-02_2024-03-04"])
+def test_separators_are_no_secrets(spark, value):
+    docs = spark.createDataFrame([(1, f"set {value} now")], "doc_id long, text string")
+    assert not secrets.scan_secrets(docs).first().secrets
+
+
 def test_entropy(spark):
     for s in ("a" * 30, "abcdefghijklmnopqrstuvwxyz", "aabbccddee" * 4, "short", "q7Zk2Lw9Xv4Tn8Rb3Yc6Md1P0000"):
         best = -1.0
