@@ -101,18 +101,31 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.fsum(map(math.exp, logs)))
 
 
-def certified_cutoffs(measured: DataFrame, labels: DataFrame, tolerated: float = TOLERATED, level: float = LEVEL, rules=RULES) -> dict[str, dict[str, float]]:
-    """By stratum and rule, the cutoff chosen among the certified ones; a rule without one isn't there.
-
-    The driver gets two rows of counts for each of the ``MAX_STRATA`` strata with most labelled documents at most;
-    documents of further strata are never rejected. Null labels are left out and repeated ones count once.
-    """
+def _tallies(measured: DataFrame, labels: DataFrame, rules) -> tuple[list, DataFrame]:
+    """Counts by stratum and quality for the driver, and the strata that are pooled there (as stratum null)."""
     known = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    names = ["n", *(f"{r}_{j}" for r, cuts in rules.items() for j in range(len(cuts)))]
     tallies = [F.sum((F.col(r) >= c).cast("long")).alias(f"{r}_{j}") for r, cuts in rules.items() for j, c in enumerate(cuts)]
     rows = measured.join(known, "doc_id").groupBy("stratum", (F.col("quality") == 1).alias("good")).agg(F.count("*").alias("n"), *tallies)
-    rows = rows.orderBy(F.desc("n"), "stratum", "good").limit(2 * MAX_STRATA).collect()
+    rows = stored(rows, "tallies")
+    large = rows.groupBy("stratum").agg(F.sum("n").alias("_all")).orderBy(F.desc("_all"), "stratum").limit(MAX_STRATA).select("stratum", F.col("stratum").alias("own"))
+    marked = rows.join(F.broadcast(large), "stratum", "left")
+    counts = marked.groupBy(F.col("own").alias("stratum"), "good").agg(*[F.sum(n).alias(n) for n in names])
+    return counts.collect(), marked.where("own is null").select("stratum").distinct()
+
+
+def certified_cutoffs(measured: DataFrame, labels: DataFrame, tolerated: float = TOLERATED, level: float = LEVEL, rules=RULES) -> dict[str | None, dict[str, float]]:
+    """By stratum and rule, the cutoff chosen among the certified ones; a rule without one isn't there.
+
+    The ``MAX_STRATA`` strata with most labelled documents stand alone; further ones that have any are pooled as one, None,
+    and certified together. The driver gets two rows of counts for each. Null labels are left out, repeated ones count once.
+    """
+    return _chosen(_tallies(measured, labels, rules)[0], tolerated, level, rules)
+
+
+def _chosen(rows: list, tolerated: float, level: float, rules) -> dict[str | None, dict[str, float]]:
     good, bad = ({r["stratum"]: r for r in rows if r["good"] == g} for g in (True, False))
-    found: dict[str, dict[str, float]] = {}
+    found: dict[str | None, dict[str, float]] = {}
     for stratum, row in good.items():
         for rule, cuts in rules.items():
             best = None
@@ -136,13 +149,17 @@ def judge(docs: DataFrame, labels: DataFrame, tolerated: float = TOLERATED, leve
     nothing is certified and only the base rejects. The measures are written once, in the shared folder.
     """
     measured = stored(measures(docs), "quality")
-    cutoffs = certified_cutoffs(measured, labels, tolerated, level)
-    by = F.array().cast("array<string>")
+    rows, pooled = _tallies(measured, labels, RULES)
+    cutoffs = _chosen(rows, tolerated, level, RULES)
+    by, columns = F.array().cast("array<string>"), measured.columns
+    if None in cutoffs:
+        measured = measured.join(pooled.withColumn("_kl_pooled", F.lit(True)), "stratum", "left")
     for stratum, rules in cutoffs.items():
         hits = F.array(*[F.when(F.col(r) >= c, r) for r, c in rules.items()])
-        by = F.when(F.col("stratum") == stratum, F.filter(hits, lambda x: x.isNotNull())).otherwise(by)
+        mine = F.col("_kl_pooled") if stratum is None else F.col("stratum") == stratum
+        by = F.when(mine, F.filter(hits, lambda x: x.isNotNull())).otherwise(by)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return measured.select("*", failed.alias("base_failed"), by.alias("rejected_by")).withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
+    return measured.select(*columns, failed.alias("base_failed"), by.alias("rejected_by")).withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -294,6 +294,18 @@ def test_quality_cutoffs(spark):
     assert quality.keep_good(docs, labels).columns == docs.columns
 
 
+def test_quality_pools_rare_strata(spark, monkeypatch):
+    """Languages past the limit are judged together; one without labels is left alone."""
+    monkeypatch.setattr(quality, "MAX_STRATA", 1)
+    lang = lambda i: "en" if i < 1600 else f"l{i % 150}" if i < 3100 else "none"
+    rows = [(i, (prose(60, i) if i % 5 else " ".join(x + "!!" for x in prose(60, i).upper().split())), lang(i)) for i in range(3200)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", lang string")
+    labels = spark.createDataFrame([(i, int(i % 5 > 0)) for i in range(3100)], "doc_id long, quality int")
+    got = quality.judge(docs, labels).collect()
+    assert len(got) == 3200 and all(r.kept == (bool(r.doc_id % 5) or r.doc_id >= 3100) for r in got)
+    assert set(quality.certified_cutoffs(quality.measures(docs), labels)) == {"en", None}
+
+
 # --- 7 ---
 
 
