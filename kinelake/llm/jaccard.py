@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 
 from kinelake.llm.components import components
 from kinelake.llm.shared import bitmap, in_bitmap, partitions, stored, table
-from kinelake.llm.substrings import _shard, _split
-from kinelake.llm.words import WordHashes, mix, runs, texts_of
+from kinelake.llm.words import WordHashes, mix, runs, shard_of, slices_by, texts_of
 
 GRAM, PERCENT, MANY, ORDERS, BITS, FLUSH_TOKENS = 5, 75, 8, 3, 1 << 26, 1_000_000
 _SEEDS = [np.uint64(s) for s in (0, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
@@ -75,7 +74,7 @@ def token_bitmaps(docs: DataFrame, firsts, gram: int = GRAM, many: int = MANY, b
 
     def flush(sets: list[np.ndarray]):
         h, n = np.unique(np.concatenate(sets), return_counts=True)
-        out = [(b, narrow(h[i][n[i] == 1]), narrow(h[i][n[i] > 1]), np.minimum(n[i][n[i] > 1], 255).astype(np.uint8).tobytes()) for b, i in _split(_shard(h << np.uint64(24), shards))]
+        out = [(b, narrow(h[i][n[i] == 1]), narrow(h[i][n[i] > 1]), np.minimum(n[i][n[i] > 1], 255).astype(np.uint8).tobytes()) for b, i in slices_by(shard_of(h << np.uint64(24), shards))]
         return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), *[pa.array([o[k] for o in out], pa.binary()) for k in (1, 2, 3)]], names=["shard", "once", "often", "times"])
 
     def emit(batches):

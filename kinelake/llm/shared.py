@@ -42,7 +42,15 @@ def partitions(df: DataFrame) -> int:
 
 # --- bitmaps: a set of longs as a fixed number of bits. A set bit may be false, a clear one never is. ---
 
-BITMAP_BITS = 1 << 25
+BITMAP_BITS, MAX_BITS = 1 << 25, 1 << 30
+
+
+def bits_for(n: int, per_entry: int = 12) -> int:
+    """A power of two of bits for ``n`` entries, at most ``MAX_BITS`` (128 MB), so that few clear entries look set.
+
+    Beyond ``MAX_BITS / 2`` entries more and more do. What looks at a bitmap then does more work, in proportion to the input at most.
+    """
+    return min(MAX_BITS, max(1 << 20, 1 << (per_entry * n).bit_length()))
 
 
 def bitmap(df: DataFrame, col: str, bits: int = BITMAP_BITS) -> np.ndarray:

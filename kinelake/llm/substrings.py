@@ -1,43 +1,55 @@
 """Removal of repeated passages by repeated-phrase automata.
 
-Every window of ``window`` words has an anchor: the phrase of half as many words inside it whose hash is least, so equal
-windows have equal anchors wherever they stand. Pass one confirms which anchors recur at all (their hashes are shuffled,
-about a sixth as many as words). Pass two sends the surroundings of recurring anchors to the shard of the anchor; a shard
-compiles its recurring phrases into an Aho-Corasick automaton, streams the surroundings through it to locate every
-occurrence, and finds for each window the earliest one. All later ones are covered. Copies within a task are settled
-there, so a text that fills a third of the rows reaches a shard once for each task.
+Nominate: every window of ``window`` words has an anchor, the phrase of half as many words inside it whose hash is least, so
+equal windows have equal anchors wherever they stand. Hashes of anchors are shuffled (about a sixth as many as words);
+anchors that occur once drop out.
+
+Confirm: words around the other anchors go to the shard of the anchor, each different window once for some hundred thousand
+words of input. The shard compares windows word by word. Those that recur make passages, each known by its first place.
+
+Locate: documents are dealt into blocks, and each block gets the passages that it needs. It compiles their phrases into
+Aho-Corasick automata of bounded size, streams its whole documents through each, and extends every match word by word
+against the passages with that phrase. Each occurrence found so, but the first place itself, is covered.
+
+Nothing but the automata's matches, compared word by word, removes a word. A passage that fills a third of the rows reaches
+a shard once for each part of the input, and a block once.
 """
 
 from __future__ import annotations
 
+import math
+from itertools import repeat
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinelake.llm.shared import bitmap, in_bitmap, partitions, table
-from kinelake.llm.words import WordHashes, joined, mix, runs, texts_of
+from kinelake.llm.shared import bitmap, bits_for, in_bitmap, partitions, stored, table
+from kinelake.llm.words import WordHashes, joined, mix, runs, shard_of, slices_by, texts_of
 
-WINDOW, BITS, FLUSH_WORDS = 20, 1 << 26, 500_000
+WINDOW, PART_WORDS, SHARD_BYTES, BLOCK_BYTES, PHRASES = 20, 500_000, 4 << 20, 8 << 20, 50_000
 
 
 class _Part:
     """Words of some documents in one row, with the windows that lie within a document."""
 
-    def __init__(self, keys: list[tuple[int, int]], words: list[np.ndarray], window: int):
+    def __init__(self, keys: list[tuple[int, int]], words: list[list[bytes]], hashes: WordHashes, window: int):
         self.window, self.phrase = window, window // 2
         self.size = np.array([len(w) for w in words], np.int64)
         self.begin = np.concatenate([[0], np.cumsum(self.size)])[:-1]
-        self.key = np.array(keys, np.int64).reshape(-1, 2)
-        self.words = np.concatenate([*words, np.zeros(0, np.uint64)])
+        self.key, self.block = np.array(keys, np.int64).reshape(-1, 2).T
+        self.texts = words
+        self.words = np.concatenate([*(hashes.of(w) for w in words), np.zeros(0, np.uint64)])
         self.doc = np.repeat(np.arange(len(words)), self.size)
         n = max(0, len(self.words) - window + 1)
         at = np.arange(n)
         self.start = at[at - self.begin[self.doc[:n]] + window <= self.size[self.doc[:n]]]
         short = runs(self.words, self.phrase)
-        self.hash = mix(joined(short[: max(0, len(short) - (window - self.phrase))], short[window - self.phrase :], self.phrase)) if window == 2 * self.phrase else mix(runs(self.words, window))
+        self.hash = mix(joined(short[: max(0, len(short) - self.phrase)], short[self.phrase :], self.phrase)) if window == 2 * self.phrase else mix(runs(self.words, window))
         self.phrases = mix(short)
         if n:
             view = np.lib.stride_tricks.sliding_window_view(self.phrases, window - self.phrase + 1)
@@ -45,203 +57,305 @@ class _Part:
         else:
             self.anchor = self.start
 
+    def raw(self, begin: np.ndarray, end: np.ndarray) -> list[bytes]:
+        """The words of ranges, a space after each."""
+        flat = [w for t in self.texts for w in t]
+        line = b" ".join([*flat, b""])
+        at = np.concatenate([[0], np.cumsum(np.fromiter(map(len, flat), np.int64, len(flat)) + 1)])
+        return [line[a:e] for a, e in zip(at[begin].tolist(), at[end].tolist(), strict=True)]
 
-def _parts(batches, window: int, limit: int = FLUSH_WORDS):
-    """Documents (``doc key, text hash, text``) in parts of about ``limit`` words."""
+
+def _parts(batches, window: int, limit: int = PART_WORDS):
+    """Documents (``key, block, text``) in parts of about ``limit`` words."""
     hashes, keys, words, total = WordHashes(), [], [], 0
     for batch in batches:
-        for k, h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch.column(2)), strict=True):
+        for k, b, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch.column(2)), strict=True):
             w = t.split()
             if len(w) < window:
                 continue
-            keys.append((k, h))
-            words.append(hashes.of(w))
+            keys.append((k, b))
+            words.append(w)
             total += len(w)
             if total >= limit:
-                yield _Part(keys, words, window)
+                yield _Part(keys, words, hashes, window)
                 keys, words, total = [], [], 0
     if keys:
-        yield _Part(keys, words, window)
-
-
-def _split(bucket: np.ndarray):
-    """Order by bucket, and the slice of each bucket in it."""
-    order = np.argsort(bucket, kind="stable")
-    edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-    for a, b in zip(edges, [*edges[1:], len(order)], strict=True):
-        yield int(bucket[order[a]]), order[a:b]
-
+        yield _Part(keys, words, hashes, window)
 
-def _shard(h: np.ndarray, shards: int) -> np.ndarray:
-    return ((h >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
 
-
-def later_ones(group: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For rows of a group (equal windows): which are later than its first in (doc, start), and which are its first (one of each)."""
-    order = np.lexsort((start, doc, group))
-    g, d, s = group[order], doc[order], start[order]
-    new = np.concatenate([[True], g[1:] != g[:-1]]) if len(g) else np.zeros(0, bool)
-    first = np.flatnonzero(new)[np.cumsum(new) - 1] if len(g) else np.zeros(0, int)
-    later = np.zeros(len(g), bool)
-    later[order] = (d != d[first]) | (s != s[first])
-    only = np.zeros(len(g), bool)
-    only[order] = new
-    return later, only
-
-
-def _ranges(doc: np.ndarray, hashes: np.ndarray, start: np.ndarray, window: int) -> pa.RecordBatch:
-    """Covered words of windows, those that overlap or touch as one."""
-    order = np.lexsort((start, hashes, doc))
-    d, h, s = doc[order], hashes[order], start[order]
-    new = np.ones(len(d), bool)
-    if len(d):
-        new[1:] = (d[1:] != d[:-1]) | (h[1:] != h[:-1]) | (s[1:] > s[:-1] + window)
-    at = np.flatnonzero(new)
-    ends = s[np.concatenate([at[1:] - 1, [len(s) - 1]])] + window if len(d) else s
-    return pa.RecordBatch.from_arrays([pa.array(d[at]), pa.array(h[at]), pa.array(s[at].astype(np.int32)), pa.array(ends.astype(np.int32))], names=["key", "hash", "start", "end"])
-
-
-def recurring_anchors(rows: DataFrame, window: int, bits: int, shards: int) -> np.ndarray:
-    """Bitmap of the hashes of anchors that occur twice or more."""
+def recurring_anchors(rows: DataFrame, window: int, shards: int) -> np.ndarray:
+    """Bitmap of the hashes of anchors that occur twice or more, sized by their number."""
 
     def emit(batches):
         for part in _parts(batches, window):
             h, n = np.unique(part.phrases[np.unique(part.anchor)], return_counts=True)
-            out = [(b, h[i][n[i] == 1].tobytes(), h[i][n[i] > 1].tobytes()) for b, i in _split(_shard(h, shards))]
+            out = [(b, h[i][n[i] == 1].tobytes(), h[i][n[i] > 1].tobytes()) for b, i in slices_by(shard_of(h, shards))]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), *[pa.array([o[k] for o in out], pa.binary()) for k in (1, 2)]], names=["shard", "once", "often"])
 
-    def confirm(found: pa.Table) -> pa.Table:
+    def count(found: pa.Table) -> pa.Table:
         once, often = (np.frombuffer(b"".join(found[c].to_pylist()), np.uint64) for c in ("once", "often"))
         h, n = np.unique(once, return_counts=True)
         twice = np.union1d(np.union1d(h[n > 1], np.intersect1d(h, often)), often)
         return pa.table({"anchor": pa.array(twice.view(np.int64))})
 
-    found = rows.mapInArrow(emit, "shard int, once binary, often binary").groupBy("shard").applyInArrow(confirm, "anchor long")
-    return bitmap(found, "anchor", bits)
+    found = stored(rows.mapInArrow(emit, "shard int, once binary, often binary").groupBy("shard").applyInArrow(count, "anchor long"), "anchors")
+    return bitmap(found, "anchor", bits_for(found.count()))
 
 
-_BLOBS = ("keys", "hashes", "starts", "lengths", "offsets", "words", "done_keys", "done_hashes", "done_starts")
-_TYPES = (np.int64, np.int64, np.int32, np.uint8, np.uint8, np.uint32, np.int64, np.int64, np.int32)
+# --- what is sent: columns of numbers and words in one compressed blob ---
 
 
-def covered_ranges(rows: DataFrame, window: int = WINDOW, bits: int = BITS) -> DataFrame:
-    """``key, hash, start, end``: words covered by windows that also start earlier. ``rows``: ``key, hash, text``."""
-    shards = 4 * partitions(rows)
-    recurring = rows.sparkSession.sparkContext.broadcast(recurring_anchors(rows, window, bits, shards))  # bits / 8 bytes at any size
-    phrase = window // 2
+def _pack(columns: list[np.ndarray], words: list[bytes]) -> bytes:
+    head = np.array([len(c.tobytes()) for c in columns], np.uint32).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(c.tobytes() for c in columns) + b"".join(words))
 
-    def surroundings(batches):
-        for part in _parts(batches, window):
-            maybe = in_bitmap(part.phrases[part.anchor], recurring.value) if len(part.anchor) else np.zeros(0, bool)
-            start, anchor = part.start[maybe], part.anchor[maybe]
-            doc = part.doc[start]
-            keys, hashes, place = part.key[doc, 0], part.key[doc, 1], start - part.begin[doc]
-            later, first = later_ones(part.hash[start], keys, place)
-            blobs: dict[int, list[bytes]] = {}
-            # what is settled here: sent on as it is
-            for b, i in _split((keys[later] % shards).astype(np.int64)):
-                j = np.flatnonzero(later)[i]
-                blobs.setdefault(b, [b""] * 9)[6:] = [keys[j].tobytes(), hashes[j].tobytes(), place[j].astype(np.int32).tobytes()]
-            s, a = start[first], anchor[first]
-            order = np.argsort(s)
-            s, a = s[order], a[order]
-            if len(s):
-                # windows in a row with one anchor: one surrounding
-                new = np.concatenate([[True], (np.diff(s) != 1) | (np.diff(a) != 0)])
-                begin = s[new]
-                end = s[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(s) - 1]])] + window
-                at, d = a[new], part.doc[begin]
-                ids = part.words.astype(np.uint32)
-                for b, i in _split(_shard(part.phrases[at], shards)):
-                    size = end[i] - begin[i]
-                    flat = np.repeat(begin[i] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-                    blobs.setdefault(b, [b""] * 9)[:6] = [
-                        part.key[d[i], 0].tobytes(),
-                        part.key[d[i], 1].tobytes(),
-                        (begin[i] - part.begin[d[i]]).astype(np.int32).tobytes(),
-                        size.astype(np.uint8).tobytes(),
-                        (at[i] - begin[i]).astype(np.uint8).tobytes(),
-                        ids[flat].tobytes(),
-                    ]
-            if blobs:
-                yield pa.RecordBatch.from_arrays([pa.array(list(blobs), pa.int32()), *[pa.array([v[k] for v in blobs.values()], pa.binary()) for k in range(9)]], names=["shard", *_BLOBS])
-
-    def locate(found: pa.Table) -> pa.Table:
-        key, hashes, starts, size, offset, words, done_key, done_hash, done_start = (np.frombuffer(b"".join(found[c].to_pylist()), t) for c, t in zip(_BLOBS, _TYPES, strict=True))
-        begin = np.concatenate([[0], np.cumsum(size.astype(np.int64))])
-        ids = words.tolist()
-        seen: dict[tuple, int] = {}
-        for a, o in zip(begin[:-1].tolist(), offset.tolist(), strict=True):
-            p = tuple(ids[a + o : a + o + phrase])
-            seen[p] = seen.get(p, 0) + 1
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        number = {p: k for k, p in enumerate(p for p, n in seen.items() if n > 1)}
-        for p, k in number.items():
-            automaton.add_word(p, k)
-        who, where = [], []
-        if number:
+
+def _unpack(blobs: list[bytes], types: tuple) -> tuple[list[np.ndarray], list[bytes]]:
+    columns, words = [[] for _ in types], []
+    for blob in blobs:
+        raw = zstandard.ZstdDecompressor().decompress(blob)
+        at = 4 * len(types)
+        for column, size, kind in zip(columns, np.frombuffer(raw[:at], np.uint32).tolist(), types, strict=True):
+            column.append(np.frombuffer(raw, kind, size // np.dtype(kind).itemsize, at))
+            at += size
+        words += raw[at:].split()
+    return [np.concatenate([*c, np.zeros(0, t)]) for c, t in zip(columns, types, strict=True)], words
+
+
+_SENT = (np.int64, np.int32, np.uint8, np.uint8, np.uint8, np.uint32, np.int32)
+_PASSAGE = (np.int64, np.int32, np.uint8, np.uint8)
+
+
+def _repeat_slices(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``first[i], first[i] + 1, ...`` (``size[i]`` of them) of all i in one row."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def surroundings(part: _Part, maybe: np.ndarray, shards: int) -> list[tuple[int, bytes]]:
+    """Of the windows with a nominated anchor, each different one once, by shard: runs of one anchor with their words.
+
+    A run has the first place in the part, the blocks where its windows stand, and whether they stand twice in the part.
+    """
+    start, anchor = part.start[maybe], part.anchor[maybe]
+    if not len(start):
+        return []
+    doc = part.doc[start]
+    place, key = start - part.begin[doc], part.key[doc]
+    order = np.lexsort((place, key, part.hash[start]))
+    h, k, p = part.hash[start][order], key[order], place[order]
+    new = np.concatenate([[True], h[1:] != h[:-1]])
+    group = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    moved = (k != k[first[group]]) | (p != p[first[group]])
+    twice = np.bincount(group, moved, len(first)) > 0
+    # blocks of each group: distinct pairs, and one number that equal sets have in common
+    pairs = np.unique((group.astype(np.uint64) << np.uint64(32)) | part.block[doc][order].astype(np.uint64))
+    of, block = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int32)
+    held = np.bincount(of, minlength=len(first))
+    sign = np.add.reduceat(mix(block.astype(np.uint64)), np.cumsum(held) - held)
+    at, by = start[order][first], anchor[order][first]
+    row = np.argsort(at)
+    s, a, t, g = at[row], by[row], twice[row], sign[row]
+    cut = np.concatenate([[True], (np.diff(s) != 1) | (np.diff(a) != 0) | (t[1:] != t[:-1]) | (g[1:] != g[:-1])])
+    begin, head = s[cut], row[cut]
+    end = s[np.concatenate([np.flatnonzero(cut)[1:] - 1, [len(s) - 1]])] + part.window
+    raw = part.raw(begin, end)
+    lead = np.cumsum(held) - held
+    out = []
+    for b, i in slices_by(shard_of(part.phrases[a[cut]], shards)):
+        d = part.doc[begin[i]]
+        columns = [
+            part.key[d],
+            (begin[i] - part.begin[d]).astype(np.int32),
+            (end[i] - begin[i]).astype(np.uint8),
+            (a[cut][i] - begin[i]).astype(np.uint8),
+            t[cut][i].astype(np.uint8),
+            held[head[i]].astype(np.uint32),
+            block[_repeat_slices(lead[head[i]], held[head[i]])],
+        ]
+        out.append((b, _pack(columns, [raw[j] for j in i.tolist()])))
+    return out
+
+
+def passages(blobs: list[bytes], window: int) -> list[tuple[int, bytes]]:
+    """A shard's recurring windows, compared word by word, as passages for each block that has some of them.
+
+    A passage is a run of windows around one anchor that all have their first place in a row: ``key, start, size``, the
+    place of the anchor in it, and its words.
+    """
+    (key, start, size, offset, twice, held, block), words = _unpack(blobs, _SENT)
+    if not len(key):
+        return []
+    vocab: dict[bytes, int] = {}
+    ids = np.fromiter((vocab.setdefault(w, len(vocab)) for w in words), np.uint32, len(words))
+    size, lead = size.astype(np.int64), np.cumsum(held.astype(np.int64)) - held
+    begin = np.cumsum(size) - size
+    windows = size - window + 1
+    run = np.repeat(np.arange(len(key)), windows)
+    step = _repeat_slices(np.zeros(len(key), np.int64), windows)
+    at, place = begin[run] + step, start[run] + step
+    whole = mix(runs(mix(ids.astype(np.uint64) + np.uint64(1)), window))[at]
+    order = np.lexsort((place, key[run], whole))
+    new = np.concatenate([[True], whole[order][1:] != whole[order][:-1]])
+    group, first = np.cumsum(new) - 1, np.flatnonzero(new)
+    # word by word: unequal windows of one hash (in practice none) are told apart
+    view = np.lib.stride_tricks.sliding_window_view(ids, window)
+    late = np.flatnonzero(~new)
+    for lo in range(0, len(late), 100_000):
+        i = late[lo : lo + 100_000]
+        if (view[at[order[i]]] != view[at[order[first[group[i]]]]]).any():
+            _, exact = np.unique(view[at], axis=0, return_inverse=True)
+            order = np.lexsort((place, key[run], exact.ravel()))
+            new = np.concatenate([[True], exact.ravel()[order][1:] != exact.ravel()[order][:-1]])
+            group, first = np.cumsum(new) - 1, np.flatnonzero(new)
+            break
+    source = order[first[group]]
+    moved = (key[run[order]] != key[run[source]]) | (place[order] != place[source]) | (twice[run[order]] > 0)
+    recurs = (np.bincount(group, moved, len(first)) > 0)[group]
+    mine, source = run[order[recurs]], source[recurs]
+    # (block, run of the first place, step there) of every window, each once
+    n = held[mine].astype(np.int64)
+    to, j = block[_repeat_slices(lead[mine], n)].astype(np.int64), np.repeat(source, n)
+    r, t = run[j], step[j]
+    sort = np.lexsort((t, r, to))
+    to, r, t = to[sort], r[sort], t[sort]
+    other = np.concatenate([[True], (np.diff(to) != 0) | (np.diff(r) != 0) | (np.diff(t) != 0)]) if len(to) else np.zeros(0, bool)
+    to, r, t = to[other], r[other], t[other]
+    if not len(to):
+        return []
+    cut = np.concatenate([[True], (np.diff(to) != 0) | (np.diff(r) != 0) | (np.diff(t) != 1)])
+    last = t[np.concatenate([np.flatnonzero(cut)[1:] - 1, [len(t) - 1]])]
+    to, r, t = to[cut], r[cut], t[cut]
+    out = []
+    for b, i in slices_by(to):
+        lo, long = begin[r[i]] + t[i], last[i] - t[i] + window
+        text = [b" ".join(words[a:e]) + b" " for a, e in zip(lo.tolist(), (lo + long).tolist(), strict=True)]
+        out.append((b, _pack([key[r[i]], (start[r[i]] + t[i]).astype(np.int32), long.astype(np.uint8), (offset[r[i]] - t[i]).astype(np.uint8)], text)))
+    return out
+
+
+class PassageFinder:
+    """Aho-Corasick automata of the passages' phrases, ``limit`` phrases in each."""
+
+    def __init__(self, blobs: list[bytes], window: int, limit: int = PHRASES):
+        (key, start, size, offset), words = _unpack(blobs, _PASSAGE)
+        self.window, self.phrase, self.vocab = window, window // 2, {}
+        ids = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words]
+        # phrase: the passages that have it
+        found: dict[tuple, list] = {}
+        begin = 0
+        for k, s, n, o in zip(key.tolist(), start.tolist(), size.tolist(), offset.tolist(), strict=True):
+            words_of = tuple(ids[begin : begin + n])
+            found.setdefault(words_of[o : o + self.phrase], []).append((k, s, n, o, words_of))
+            begin += n
+        self.automata, self.having = [], []
+        phrases = list(found.items())
+        for lo in range(0, len(phrases), limit):
+            automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+            for k, (phrase, _) in enumerate(phrases[lo : lo + limit]):
+                automaton.add_word(phrase, k)
             automaton.make_automaton()
-            for j, (a, e, o) in enumerate(zip(begin[:-1].tolist(), begin[1:].tolist(), offset.tolist(), strict=True)):
-                # a surrounding may hold other phrases of the shard; their windows are judged at their own surroundings
-                for end, k in automaton.iter(tuple(ids[a:e])):
-                    if end == o + phrase - 1:
-                        who.append(j)
-                        where.append(k)
-        who, where = np.array(who, np.int64), np.array(where, np.int64)
-        windows = (size[who].astype(np.int64) - window + 1) if len(who) else np.zeros(0, np.int64)
-        span = np.repeat(who, windows)
-        step = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-        whole = mix(runs(words.astype(np.uint64), window))
-        group = mix(whole[begin[span] + step] + np.repeat(where, windows).astype(np.uint64)) if len(span) else np.zeros(0, np.uint64)
-        at = starts[span].astype(np.int64) + step
-        later, _ = later_ones(group, key[span], at)
-        out = _ranges(np.concatenate([key[span][later], done_key]), np.concatenate([hashes[span][later], done_hash]), np.concatenate([at[later], done_start.astype(np.int64)]), window)
-        return pa.Table.from_batches([out])
-
-    sent = rows.mapInArrow(surroundings, "shard int, " + ", ".join(f"{c} binary" for c in _BLOBS))
-    return sent.groupBy("shard").applyInArrow(locate, "key long, hash long, start int, end int")
-
-
-def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+            self.automata.append(automaton)
+            self.having.append([h for _, h in phrases[lo : lo + limit]])
+
+    def covered(self, key: int, words: list[bytes]) -> list[list[int]]:
+        """Spans of words of a document that lie in windows of passages which start earlier."""
+        window, phrase = self.window, self.phrase
+        if len(words) < window or not self.automata:
+            return []
+        ids = tuple(map(self.vocab.get, words, repeat(0)))
+        spans = []
+        for automaton, having in zip(self.automata, self.having, strict=True):
+            for end, k in automaton.iter(ids):
+                for source, first, n, o, want in having[k]:
+                    at = end - phrase + 1 - o
+                    if at == first and key == source:
+                        continue
+                    if at >= 0 and ids[at : at + n] == want:
+                        spans.append((at, at + n))
+                        continue
+                    lo, hi = o, o + phrase
+                    while lo and at + lo > 0 and ids[at + lo - 1] == want[lo - 1]:
+                        lo -= 1
+                    stop = min(n, len(ids) - at)
+                    while hi < stop and ids[at + hi] == want[hi]:
+                        hi += 1
+                    if hi - lo >= window:
+                        spans.append((at + lo, at + hi))
+        out: list[list[int]] = []
+        for a, e in sorted(spans):
+            if out and a <= out[-1][1]:
+                out[-1][1] = max(out[-1][1], e)
+            else:
+                out.append([a, e])
+        return out
+
+
+def _blob_batch(found: list[tuple[int, bytes]], name: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.binary())], names=[name, "blob"])
+
+
+def recurring_passages(rows: DataFrame, window: int, shards: int) -> DataFrame:
+    """``block, blob``: what each block has to look for. ``rows``: ``key, block, text``."""
+    found = recurring_anchors(rows, window, shards)
+    nominated = rows.sparkSession.sparkContext.broadcast(found)  # at most 128 MB, see bits_for
+
+    def send(batches):
+        for part in _parts(batches, window):
+            maybe = in_bitmap(part.phrases[part.anchor], nominated.value) if len(part.anchor) else np.zeros(0, bool)
+            out = surroundings(part, maybe, shards)
+            if out:
+                yield _blob_batch(out, "shard")
+
+    def confirm(found: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([_blob_batch(passages(found["blob"].to_pylist(), window), "block")])
+
+    return rows.mapInArrow(send, "shard int, blob binary").groupBy("shard").applyInArrow(confirm, "block int, blob binary")
+
+
+def find_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, phrases: int = PHRASES) -> DataFrame:
     """All columns of ``docs`` with ``n_words``, ``removed_spans`` (word places, end exclusive) and ``kept_text``.
 
     Words are runs without white space (9-13, 32). A word is removed if a window over it also starts earlier: at a smaller
-    ``doc_id``, or earlier in the document. ``kept_text`` has the other words, joined by one space. A null text has no
-    words; a text shorter than a window loses none; a null ``doc_id`` comes before all others; repeated rows are one
-    document (rows of equal ``doc_id`` and other text don't precede each other); an empty table stays empty. Columns of
-    those names, and those that begin with ``_kl_``, are replaced.
+    ``doc_id``, or earlier in the document. ``kept_text`` has the other words, joined by one space. ``window`` is even, at
+    most 80. A null text has no words; a text shorter than a window loses none; very long texts are searched whole; a null
+    ``doc_id`` comes before all others; repeated rows are one document (rows of equal ``doc_id`` and other text don't
+    precede each other); an empty table stays empty. Columns of those names, and those that begin with ``_kl_``, are
+    replaced. No word is removed but by equal words; that a window's only copy is missed takes two equal 64-bit hashes
+    of windows within a part of ``PART_WORDS`` words.
     """
-    docs = docs.drop("n_words", "removed_spans", "kept_text", "_kl_key", "_kl_hash")
-    keyed = docs.withColumns({"_kl_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), "_kl_hash": F.xxhash64("text")})
-    ranges = covered_ranges(keyed.select(F.col("_kl_key").alias("key"), F.col("_kl_hash").alias("hash"), "text"), window)
-    spans = ranges.groupBy("key", "hash").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_kl_spans"))
-    joined_rows = keyed.join(spans.withColumnsRenamed({"key": "_kl_key", "hash": "_kl_hash"}), ["_kl_key", "_kl_hash"], "left")
+    if window % 2 or not 2 <= window <= 80:
+        raise ValueError("window must be even and at most 80")
+    docs = docs.drop("n_words", "removed_spans", "kept_text", "_kl_key", "_kl_block")
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, math.ceil(total / block_bytes))
+    shards = max(partitions(docs), math.ceil(total / SHARD_BYTES))
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
+    keyed = docs.withColumns({"_kl_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), "_kl_block": block})
+    wanted = recurring_passages(keyed.select(F.col("_kl_key").alias("key"), F.col("_kl_block").alias("block"), "text"), window, shards)
     columns = docs.columns
     kind = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("removed_spans", kind), T.StructField("kept_text", T.StringType())])
 
-    def cut(batches):
-        for batch in batches:
-            counts, removed, kept = [], [], []
-            for t, found in zip(texts_of(batch.column(columns.index("text"))), batch.column(len(columns)).to_pylist(), strict=True):
-                words, merged, last, rest = t.split(), [], 0, []
-                for s in found or ():
-                    if merged and s["start"] <= merged[-1]["end"]:
-                        merged[-1]["end"] = max(merged[-1]["end"], s["end"])
-                    else:
-                        merged.append(dict(s))
-                for s in merged:
-                    rest += words[last : s["start"]]
-                    last = s["end"]
+    def locate(rows: pa.Table, found: pa.Table) -> pa.Table:
+        finder = PassageFinder(found["blob"].to_pylist() if len(found) else [], window, phrases)
+        counts, removed, kept = [], [], []
+        for batch in rows.select(["_kl_key", "text"]).to_batches(max_chunksize=256):
+            for key, t in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+                words, last, rest = t.split(), 0, []
+                spans = finder.covered(key, words)
+                for a, e in spans:
+                    rest += words[last:a]
+                    last = e
                 counts.append(len(words))
-                removed.append(merged)
+                removed.append([{"start": a, "end": e} for a, e in spans])
                 kept.append(b" ".join(rest + words[last:]).decode())
-            spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            added = [pa.array(counts, pa.int64()), pa.array(removed, spans_type), pa.array(kept, pa.string())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], *added], names=[*columns, "n_words", "removed_spans", "kept_text"])
+        spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+        added = [pa.array(counts, pa.int64()), pa.array(removed, spans_type), pa.array(kept, pa.string())]
+        return pa.table([*[rows[c] for c in columns], *added], names=[*columns, "n_words", "removed_spans", "kept_text"])
 
-    return joined_rows.select(*columns, "_kl_spans").mapInArrow(cut, schema)
+    return keyed.groupBy("_kl_block").cogroup(wanted.groupBy("block")).applyInArrow(locate, schema)
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

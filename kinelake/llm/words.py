@@ -48,3 +48,15 @@ def joined(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
 def texts_of(column: pa.Array) -> list[bytes]:
     """Null counts as empty."""
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+
+
+def slices_by(bucket: np.ndarray):
+    """Each bucket with the places of its entries."""
+    order = np.argsort(bucket, kind="stable")
+    edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    for a, b in zip(edges, [*edges[1:], len(order)], strict=True):
+        yield int(bucket[order[a]]), order[a:b]
+
+
+def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
+    return ((h >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)

@@ -433,3 +433,49 @@ def test_substrings(spark, docs):
     for r in rows:
         assert (r.n_words, {p for s in r.removed_spans for p in range(s.start, s.end)}, r.kept_text) == want[r.doc_id], r.doc_id
     assert substrings.find_repeats(empty(spark)).count() == 0
+
+
+def _brute_repeats(rows, window):
+    out, seen = {}, {}
+    for i, t in sorted(rows, key=lambda r: r[0]):
+        w = words(t)
+        gone = set()
+        for k in range(len(w) - window + 1):
+            if seen.setdefault(tuple(w[k : k + window]), (i, k)) != (i, k):
+                gone |= set(range(k, k + window))
+        out[i] = gone
+    return out
+
+
+def _found_repeats(docs, **how):
+    return {r.doc_id: {p for s in r.removed_spans for p in range(s.start, s.end)} for r in substrings.find_repeats(docs, **how).collect()}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_substrings_of_few_words(spark, seed):
+    """Few different words: phrases recur in many contexts, and overlap themselves. Tiny automata and blocks."""
+    r = random.Random(seed)
+    rows = [(i, " ".join(r.choice("ab" if seed else "abc") for _ in range(r.choice((0, 5, 30, 80))))) for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    for window in (6, 10):
+        assert _found_repeats(df, window=window, block_bytes=500, phrases=3) == _brute_repeats(rows, window)
+
+
+def test_substrings_come_from_the_automata():
+    """Without what the automata match, nothing is removed; the passages given to a finder alone decide."""
+    finder = substrings.PassageFinder([substrings._pack([np.array([3]), np.array([5], np.int32), np.array([6], np.uint8), np.array([1], np.uint8)], [b"a b c d e f "])], 4)
+    text = b"x b c d e f y a b c d e f a b c d z".split()
+    assert finder.covered(9, text) == [[1, 6], [7, 17]] and finder.covered(9, text[:2]) == []
+    assert finder.covered(3, b"0 1 2 3 4 a b c d e f".split()) == []
+
+    nothing = substrings.PassageFinder([], 4)
+    assert nothing.covered(9, text) == []
+    finder.automata = [type("Empty", (), {"iter": lambda self, ids: iter(())})()]
+    assert finder.covered(9, text) == []
+
+
+def test_substrings_large_groups(spark):
+    """A passage that all rows hold and exact copies over many blocks and parts."""
+    rows = [(i, prose(15, i) + " " + PASSAGE + " " + prose(15, 1000 + i)) for i in range(200)] + [(300 + i, BASE) for i in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    assert _found_repeats(df, block_bytes=2000) == _brute_repeats(rows, 20)
