@@ -31,14 +31,27 @@ from pyspark.sql import types as T
 from kinelake.llm.shared import bitmap, bits_for, in_bitmap, partitions, stored, table
 from kinelake.llm.words import WordHashes, joined, mix, runs, shard_of, slices_by, texts_of
 
-WINDOW, PART_WORDS, SHARD_BYTES, BLOCK_BYTES, PHRASES = 20, 500_000, 4 << 20, 8 << 20, 50_000
+WINDOW, PART_WORDS, SHARD_BYTES, BLOCK_BYTES, PHRASES = 20, 400_000, 4 << 20, 6 << 20, 20_000
+
+
+def first_least(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the first least one of every ``width`` consecutive values, by doubling."""
+    at, have = np.arange(len(values)), 1
+    while have < width:
+        step = min(have, width - have)
+        left, right = at[: len(at) - step], at[step:]
+        at = np.where(values[right] < values[left], right, left)
+        have += step
+    return at
 
 
 class _Part:
-    """Words of some documents in one row, with the windows that lie within a document."""
+    """Words of some documents in one row, by key, with the windows that lie within a document."""
 
     def __init__(self, keys: list[tuple[int, int]], words: list[list[bytes]], hashes: WordHashes, window: int):
         self.window, self.phrase = window, window // 2
+        order = sorted(range(len(keys)), key=keys.__getitem__)
+        keys, words = [keys[i] for i in order], [words[i] for i in order]
         self.size = np.array([len(w) for w in words], np.int64)
         self.begin = np.concatenate([[0], np.cumsum(self.size)])[:-1]
         self.key, self.block = np.array(keys, np.int64).reshape(-1, 2).T
@@ -51,11 +64,7 @@ class _Part:
         short = runs(self.words, self.phrase)
         self.hash = mix(joined(short[: max(0, len(short) - self.phrase)], short[self.phrase :], self.phrase)) if window == 2 * self.phrase else mix(runs(self.words, window))
         self.phrases = mix(short)
-        if n:
-            view = np.lib.stride_tricks.sliding_window_view(self.phrases, window - self.phrase + 1)
-            self.anchor = self.start + view[self.start].argmin(1)
-        else:
-            self.anchor = self.start
+        self.anchor = first_least(self.phrases, window - self.phrase + 1)[self.start] if n else self.start
 
     def raw(self, begin: np.ndarray, end: np.ndarray) -> list[bytes]:
         """The words of ranges, a space after each."""
@@ -127,6 +136,14 @@ _SENT = (np.int64, np.int32, np.uint8, np.uint8, np.uint8, np.uint32, np.int32)
 _PASSAGE = (np.int64, np.int32, np.uint8, np.uint8)
 
 
+class _Numbers(dict):
+    """Words by the order in which they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 def _repeat_slices(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """``first[i], first[i] + 1, ...`` (``size[i]`` of them) of all i in one row."""
     return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
@@ -142,19 +159,19 @@ def surroundings(part: _Part, maybe: np.ndarray, shards: int) -> list[tuple[int,
         return []
     doc = part.doc[start]
     place, key = start - part.begin[doc], part.key[doc]
-    order = np.lexsort((place, key, part.hash[start]))
-    h, k, p = part.hash[start][order], key[order], place[order]
+    order = np.argsort(part.hash[start])
+    h = part.hash[start][order]
     new = np.concatenate([[True], h[1:] != h[:-1]])
     group = np.cumsum(new) - 1
-    first = np.flatnonzero(new)
-    moved = (k != k[first[group]]) | (p != p[first[group]])
+    first = np.minimum.reduceat(order, np.flatnonzero(new))  # windows stand by key and place
+    moved = (key[order] != key[first[group]]) | (place[order] != place[first[group]])
     twice = np.bincount(group, moved, len(first)) > 0
     # blocks of each group: distinct pairs, and one number that equal sets have in common
     pairs = np.unique((group.astype(np.uint64) << np.uint64(32)) | part.block[doc][order].astype(np.uint64))
     of, block = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int32)
     held = np.bincount(of, minlength=len(first))
     sign = np.add.reduceat(mix(block.astype(np.uint64)), np.cumsum(held) - held)
-    at, by = start[order][first], anchor[order][first]
+    at, by = start[first], anchor[first]
     row = np.argsort(at)
     s, a, t, g = at[row], by[row], twice[row], sign[row]
     cut = np.concatenate([[True], (np.diff(s) != 1) | (np.diff(a) != 0) | (t[1:] != t[:-1]) | (g[1:] != g[:-1])])
@@ -187,30 +204,35 @@ def passages(blobs: list[bytes], window: int) -> list[tuple[int, bytes]]:
     (key, start, size, offset, twice, held, block), words = _unpack(blobs, _SENT)
     if not len(key):
         return []
-    vocab: dict[bytes, int] = {}
-    ids = np.fromiter((vocab.setdefault(w, len(vocab)) for w in words), np.uint32, len(words))
+    ids = np.fromiter(map(_Numbers().__getitem__, words), np.uint32, len(words))
     size, lead = size.astype(np.int64), np.cumsum(held.astype(np.int64)) - held
     begin = np.cumsum(size) - size
     windows = size - window + 1
-    run = np.repeat(np.arange(len(key)), windows)
-    step = _repeat_slices(np.zeros(len(key), np.int64), windows)
+    # runs by their first place, so that a group's first window is the one of least number
+    by = np.lexsort((start, key))
+    run = np.repeat(by, windows[by])
+    step = _repeat_slices(np.zeros(len(key), np.int64), windows[by])
     at, place = begin[run] + step, start[run] + step
-    whole = mix(runs(mix(ids.astype(np.uint64) + np.uint64(1)), window))[at]
-    order = np.lexsort((place, key[run], whole))
-    new = np.concatenate([[True], whole[order][1:] != whole[order][:-1]])
-    group, first = np.cumsum(new) - 1, np.flatnonzero(new)
+    if ((np.diff(key[run]) == 0) & (np.diff(place) < 0)).any():  # unlike texts of one key
+        sort = np.lexsort((place, key[run]))
+        run, step, at, place = run[sort], step[sort], at[sort], place[sort]
+
+    def grouped(same: np.ndarray):
+        order = np.argsort(same)
+        new = np.concatenate([[True], same[order][1:] != same[order][:-1]])
+        heads = np.flatnonzero(new)
+        return order, np.cumsum(new) - 1, np.minimum.reduceat(order, heads)
+
+    order, group, first = grouped(mix(runs(mix(ids.astype(np.uint64) + np.uint64(1)), window))[at])
     # word by word: unequal windows of one hash (in practice none) are told apart
     view = np.lib.stride_tricks.sliding_window_view(ids, window)
-    late = np.flatnonzero(~new)
+    late = np.flatnonzero(order != first[group])
     for lo in range(0, len(late), 100_000):
         i = late[lo : lo + 100_000]
-        if (view[at[order[i]]] != view[at[order[first[group[i]]]]]).any():
-            _, exact = np.unique(view[at], axis=0, return_inverse=True)
-            order = np.lexsort((place, key[run], exact.ravel()))
-            new = np.concatenate([[True], exact.ravel()[order][1:] != exact.ravel()[order][:-1]])
-            group, first = np.cumsum(new) - 1, np.flatnonzero(new)
+        if (view[at[order[i]]] != view[at[first[group[i]]]]).any():
+            order, group, first = grouped(np.unique(view[at], axis=0, return_inverse=True)[1].ravel())
             break
-    source = order[first[group]]
+    source = first[group]
     moved = (key[run[order]] != key[run[source]]) | (place[order] != place[source]) | (twice[run[order]] > 0)
     recurs = (np.bincount(group, moved, len(first)) > 0)[group]
     mine, source = run[order[recurs]], source[recurs]
@@ -236,23 +258,31 @@ def passages(blobs: list[bytes], window: int) -> list[tuple[int, bytes]]:
 
 
 class PassageFinder:
-    """Aho-Corasick automata of the passages' phrases, ``limit`` phrases in each."""
+    """Aho-Corasick automata of the passages' phrases, ``limit`` phrases in each.
+
+    Nodes of an automaton list their edges, so a word is spelt in three characters of about the cube root of the number of
+    words each; each of the three has its own range, so that matches can't begin inside a word.
+    """
 
     def __init__(self, blobs: list[bytes], window: int, limit: int = PHRASES):
         (key, start, size, offset), words = _unpack(blobs, _PASSAGE)
-        self.window, self.phrase, self.vocab = window, window // 2, {}
-        ids = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words]
+        self.window, self.phrase = window, window // 2
+        different = dict.fromkeys(words)
+        base = math.ceil(len(different) ** (1 / 3)) + 1
+        self.unknown, first = "   ", 33
+        self.vocab = {w: chr(first + k // base // base) + chr(first + base + k // base % base) + chr(first + 2 * base + k % base) for k, w in enumerate(different)}
+        spelt = list(map(self.vocab.__getitem__, words))
         # phrase: the passages that have it
-        found: dict[tuple, list] = {}
+        found: dict[str, list] = {}
         begin = 0
         for k, s, n, o in zip(key.tolist(), start.tolist(), size.tolist(), offset.tolist(), strict=True):
-            words_of = tuple(ids[begin : begin + n])
-            found.setdefault(words_of[o : o + self.phrase], []).append((k, s, n, o, words_of))
+            want = "".join(spelt[begin : begin + n])
+            found.setdefault(want[3 * o : 3 * (o + self.phrase)], []).append((k, s, n, o, want))
             begin += n
         self.automata, self.having = [], []
         phrases = list(found.items())
         for lo in range(0, len(phrases), limit):
-            automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+            automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
             for k, (phrase, _) in enumerate(phrases[lo : lo + limit]):
                 automaton.add_word(phrase, k)
             automaton.make_automaton()
@@ -264,22 +294,23 @@ class PassageFinder:
         window, phrase = self.window, self.phrase
         if len(words) < window or not self.automata:
             return []
-        ids = tuple(map(self.vocab.get, words, repeat(0)))
+        text = "".join(map(self.vocab.get, words, repeat(self.unknown)))
         spans = []
         for automaton, having in zip(self.automata, self.having, strict=True):
-            for end, k in automaton.iter(ids):
+            for end, k in automaton.iter(text):
+                begin = (end + 1) // 3 - phrase
                 for source, first, n, o, want in having[k]:
-                    at = end - phrase + 1 - o
+                    at = begin - o
                     if at == first and key == source:
                         continue
-                    if at >= 0 and ids[at : at + n] == want:
+                    if at >= 0 and text.startswith(want, 3 * at):
                         spans.append((at, at + n))
                         continue
                     lo, hi = o, o + phrase
-                    while lo and at + lo > 0 and ids[at + lo - 1] == want[lo - 1]:
+                    while lo and at + lo > 0 and text.startswith(want[3 * lo - 3 : 3 * lo], 3 * (at + lo - 1)):
                         lo -= 1
-                    stop = min(n, len(ids) - at)
-                    while hi < stop and ids[at + hi] == want[hi]:
+                    stop = min(n, len(words) - at)
+                    while hi < stop and text.startswith(want[3 * hi : 3 * hi + 3], 3 * (at + hi)):
                         hi += 1
                     if hi - lo >= window:
                         spans.append((at + lo, at + hi))
