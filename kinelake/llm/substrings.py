@@ -9,7 +9,7 @@ words of input. The shard compares windows word by word. Those that recur make p
 
 Locate: documents are dealt into blocks, and each block gets the passages that it needs. It compiles their phrases into
 Aho-Corasick automata of bounded size, streams its whole documents through each, and extends every match word by word
-against the passages with that phrase. Each occurrence found so, but the first place itself, is covered.
+along the passages with that phrase. Each occurrence found so, but the first place itself, is covered.
 
 Nothing but the automata's matches, compared word by word, removes a word. A passage that fills a third of the rows reaches
 a shard once for each part of the input, and a block once.
@@ -132,8 +132,8 @@ def _unpack(blobs: list[bytes], types: tuple) -> tuple[list[np.ndarray], list[by
     return [np.concatenate([*c, np.zeros(0, t)]) for c, t in zip(columns, types, strict=True)], words
 
 
-_SENT = (np.int64, np.int32, np.uint8, np.uint8, np.uint8, np.uint32, np.int32)
-_PASSAGE = (np.int64, np.int32, np.uint8, np.uint8)
+_SENT = (np.int64, np.int32, np.uint8, np.uint8, np.uint32, np.int32)
+_PASSAGE = (np.int64, np.int32, np.uint8)
 
 
 class _Numbers(dict):
@@ -186,7 +186,6 @@ def surroundings(part: _Part, maybe: np.ndarray, shards: int) -> list[tuple[int,
             part.key[d],
             (begin[i] - part.begin[d]).astype(np.int32),
             (end[i] - begin[i]).astype(np.uint8),
-            (a[cut][i] - begin[i]).astype(np.uint8),
             t[cut][i].astype(np.uint8),
             held[head[i]].astype(np.uint32),
             block[_repeat_slices(lead[head[i]], held[head[i]])],
@@ -198,10 +197,9 @@ def surroundings(part: _Part, maybe: np.ndarray, shards: int) -> list[tuple[int,
 def passages(blobs: list[bytes], window: int) -> list[tuple[int, bytes]]:
     """A shard's recurring windows, compared word by word, as passages for each block that has some of them.
 
-    A passage is a run of windows around one anchor that all have their first place in a row: ``key, start, size``, the
-    place of the anchor in it, and its words.
+    A passage is a run of windows around one anchor that all have their first place in a row: ``key, start, size`` and words.
     """
-    (key, start, size, offset, twice, held, block), words = _unpack(blobs, _SENT)
+    (key, start, size, twice, held, block), words = _unpack(blobs, _SENT)
     if not len(key):
         return []
     ids = np.fromiter(map(_Numbers().__getitem__, words), np.uint32, len(words))
@@ -253,32 +251,54 @@ def passages(blobs: list[bytes], window: int) -> list[tuple[int, bytes]]:
     for b, i in slices_by(to):
         lo, long = begin[r[i]] + t[i], last[i] - t[i] + window
         text = [b" ".join(words[a:e]) + b" " for a, e in zip(lo.tolist(), (lo + long).tolist(), strict=True)]
-        out.append((b, _pack([key[r[i]], (start[r[i]] + t[i]).astype(np.int32), long.astype(np.uint8), (offset[r[i]] - t[i]).astype(np.uint8)], text)))
+        out.append((b, _pack([key[r[i]], (start[r[i]] + t[i]).astype(np.int32), long.astype(np.uint8)], text)))
     return out
 
 
+def _reach(n: int, alike) -> int:
+    """The largest ``m`` up to ``n`` with ``alike(m)``, which falls once: by doubling, then halving."""
+    lo, hi = 0, min(n, 96)
+    while alike(hi):
+        if hi == n:
+            return n
+        lo, hi = hi, min(n, 4 * hi)
+    while hi - lo > 1:
+        mid = (lo + hi) // 2
+        lo, hi = (mid, hi) if alike(mid) else (lo, mid)
+    return lo
+
+
 class PassageFinder:
     """Aho-Corasick automata of the passages' phrases, ``limit`` phrases in each.
 
-    Nodes of an automaton list their edges, so a word is spelt in three characters of about the cube root of the number of
-    words each; each of the three has its own range, so that matches can't begin inside a word.
+    Passages whose windows follow each other are joined. Their phrases are cut one after another, half a window long, so
+    that every window holds a whole one. Nodes of an automaton list their edges, so a word is spelt in three characters of
+    about the cube root of the number of words each; each of the three has its own range, so that matches can't begin
+    inside a word.
     """
 
     def __init__(self, blobs: list[bytes], window: int, limit: int = PHRASES):
-        (key, start, size, offset), words = _unpack(blobs, _PASSAGE)
+        (key, start, size), words = _unpack(blobs, _PASSAGE)
         self.window, self.phrase = window, window // 2
-        different = dict.fromkeys(words)
+        begin = np.cumsum(size, dtype=np.int64) - size
+        whole: list[tuple[int, int, list[bytes]]] = []
+        for i in np.lexsort((start, key)).tolist():
+            k, s, text = int(key[i]), int(start[i]), words[begin[i] : begin[i] + size[i]]
+            if whole:
+                last, first, have = whole[-1]
+                if last == k and s == first + len(have) - window + 1 and have[1 - window :] == text[: window - 1]:
+                    have += text[window - 1 :]
+                    continue
+            whole.append((k, s, text))
+        different = dict.fromkeys(w for _, _, text in whole for w in text)
         base = math.ceil(len(different) ** (1 / 3)) + 1
-        self.unknown, first = "   ", 33
-        self.vocab = {w: chr(first + k // base // base) + chr(first + base + k // base % base) + chr(first + 2 * base + k % base) for k, w in enumerate(different)}
-        spelt = list(map(self.vocab.__getitem__, words))
-        # phrase: the passages that have it
+        self.vocab = {w: chr(33 + k // base // base) + chr(33 + base + k // base % base) + chr(33 + 2 * base + k % base) for k, w in enumerate(different)}
         found: dict[str, list] = {}
-        begin = 0
-        for k, s, n, o in zip(key.tolist(), start.tolist(), size.tolist(), offset.tolist(), strict=True):
-            want = "".join(spelt[begin : begin + n])
-            found.setdefault(want[3 * o : 3 * (o + self.phrase)], []).append((k, s, n, o, want))
-            begin += n
+        width = 3 * self.phrase
+        for number, (k, s, text) in enumerate(whole):
+            want = "".join(map(self.vocab.__getitem__, text))
+            for at in range(0, len(want) - width + 1, width):
+                found.setdefault(want[at : at + width], []).append((number, k, s, at, want))
         self.automata, self.having = [], []
         phrases = list(found.items())
         for lo in range(0, len(phrases), limit):
@@ -291,29 +311,26 @@ class PassageFinder:
 
     def covered(self, key: int, words: list[bytes]) -> list[list[int]]:
         """Spans of words of a document that lie in windows of passages which start earlier."""
-        window, phrase = self.window, self.phrase
-        if len(words) < window or not self.automata:
+        if len(words) < self.window or not self.automata:
             return []
-        text = "".join(map(self.vocab.get, words, repeat(self.unknown)))
-        spans = []
+        text, back = "".join(map(self.vocab.get, words, repeat("   "))), 3 * self.phrase - 1
+        spans, done = [], {}
         for automaton, having in zip(self.automata, self.having, strict=True):
             for end, k in automaton.iter(text):
-                begin = (end + 1) // 3 - phrase
-                for source, first, n, o, want in having[k]:
-                    at = begin - o
-                    if at == first and key == source:
+                begin = end - back
+                for number, source, first, at, want in having[k]:
+                    shift = begin - at
+                    if shift == 3 * first and key == source:
                         continue
-                    if at >= 0 and text.startswith(want, 3 * at):
-                        spans.append((at, at + n))
+                    # the same passage at the same place was followed to there already
+                    if done.get((number, shift), -1) > end:
                         continue
-                    lo, hi = o, o + phrase
-                    while lo and at + lo > 0 and text.startswith(want[3 * lo - 3 : 3 * lo], 3 * (at + lo - 1)):
-                        lo -= 1
-                    stop = min(n, len(words) - at)
-                    while hi < stop and text.startswith(want[3 * hi : 3 * hi + 3], 3 * (at + hi)):
-                        hi += 1
-                    if hi - lo >= window:
-                        spans.append((at + lo, at + hi))
+                    right = _reach(min(len(text) - begin, len(want) - at), lambda m: text.startswith(want[at : at + m], begin))  # noqa: B023
+                    left = _reach(min(begin, at), lambda m: text.startswith(want[at - m : at], begin - m))  # noqa: B023
+                    lo, hi = (begin - left + 2) // 3, (begin + right) // 3
+                    done[number, shift] = 3 * hi
+                    if hi - lo >= self.window:
+                        spans.append((lo, hi))
         out: list[list[int]] = []
         for a, e in sorted(spans):
             if out and a <= out[-1][1]:

@@ -463,7 +463,7 @@ def test_substrings_of_few_words(spark, seed):
 
 def test_substrings_come_from_the_automata():
     """Without what the automata match, nothing is removed; the passages given to a finder alone decide."""
-    finder = substrings.PassageFinder([substrings._pack([np.array([3]), np.array([5], np.int32), np.array([6], np.uint8), np.array([1], np.uint8)], [b"a b c d e f "])], 4)
+    finder = substrings.PassageFinder([substrings._pack([np.array([3]), np.array([5], np.int32), np.array([6], np.uint8)], [b"a b c d e f "])], 4)
     text = b"x b c d e f y a b c d e f a b c d z".split()
     assert finder.covered(9, text) == [[1, 6], [7, 17]] and finder.covered(9, text[:2]) == []
     assert finder.covered(3, b"0 1 2 3 4 a b c d e f".split()) == []
