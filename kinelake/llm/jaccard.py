@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from kinelake.llm.components import components
 from kinelake.llm.shared import bitmap, in_bitmap, partitions, stored, table
-from kinelake.llm.words import WordHashes, mix, runs, shard_of, slices_by, texts_of
+from kinelake.llm.words import Words, mix, runs, shard_of, slices_by, texts_of
 
 GRAM, PERCENT, MANY, ORDERS, BITS, FLUSH_TOKENS = 5, 75, 8, 3, 1 << 26, 1_000_000
 _SEEDS = [np.uint64(s) for s in (0, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
@@ -30,13 +30,16 @@ def shingles(words: np.ndarray, gram: int = GRAM) -> np.ndarray:
     return np.unique(mix(runs(words, min(gram, len(words))))) if len(words) else np.zeros(0, np.uint64)
 
 
-def _sets(batches, gram: int, hashes: WordHashes, wanted: np.ndarray | None = None):
+def _sets(batches, gram: int, wanted: np.ndarray | None = None):
     """``doc_id, set`` of rows ``doc_id, text``; if given, of those whose ``doc_id`` is in the bitmap."""
     for batch in batches:
         if wanted is not None:
             batch = batch.filter(pa.array(in_bitmap(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), wanted)))
-        for key, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
-            yield key, shingles(hashes.of(text.lower().split()), gram)
+        for lo in range(0, batch.num_rows, 256):
+            some = batch.slice(lo, 256)
+            words = Words([t.lower() for t in texts_of(some.column(1))])
+            for key, n, last in zip(some.column(0).to_pylist(), words.size.tolist(), words.last.tolist(), strict=True):
+                yield key, shingles(words.hash[last - n : last], gram)
 
 
 def _sign(s: np.ndarray) -> tuple[int, int]:
@@ -54,9 +57,8 @@ def _signatures(docs: DataFrame, gram: int) -> DataFrame:
 
     def sign(batches):
         for batch in batches:
-            yield _batch([(key, len(s), *_sign(s)) for key, s in _sets([batch], gram, hashes)], kind)
+            yield _batch([(key, len(s), *_sign(s)) for key, s in _sets([batch], gram)], kind)
 
-    hashes = WordHashes()
     kind = pa.schema([(c, pa.int64()) for c in ("doc_id", "n_shingles", "s1", "s2")])
     return docs.mapInArrow(sign, "doc_id long, n_shingles long, s1 long, s2 long")
 
@@ -79,7 +81,7 @@ def token_bitmaps(docs: DataFrame, firsts, gram: int = GRAM, many: int = MANY, b
 
     def emit(batches):
         sets, total = [], 0
-        for _, s in _sets(batches, gram, WordHashes(), firsts.value):
+        for _, s in _sets(batches, gram, firsts.value):
             if len(s):
                 sets.append(s)
                 total += len(s)
@@ -124,7 +126,7 @@ def _candidates(docs: DataFrame, firsts, shared, many, gram: int, percent: int)
 
     def pick(batches):
         rows: list[tuple] = []
-        for key, s in _sets(batches, gram, WordHashes(), firsts.value):
+        for key, s in _sets(batches, gram, firsts.value):
             mine = s[in_bitmap(s, shared.value)]
             if len(s) and len(mine) >= least_overlap(len(s), percent):
                 rows.append((key, len(s), mine.tobytes(), int(in_bitmap(mine, many.value).sum())))

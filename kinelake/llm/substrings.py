@@ -4,8 +4,8 @@ Nominate: every window of ``window`` words has an anchor, the phrase of half as
 equal windows have equal anchors wherever they stand. Hashes of anchors are shuffled (about a sixth as many as words);
 anchors that occur once drop out.
 
-Confirm: words around the other anchors go to the shard of the anchor, each different window once for some hundred thousand
-words of input. The shard compares windows word by word. Those that recur make passages, each known by its first place.
+Confirm: words around the other anchors go to the shard of the anchor, each different window once for some
+megabytes of input. The shard compares windows word by word. Those that recur make passages, each known by its first place.
 
 Locate: documents are dealt into blocks, and each block gets the passages that it needs. It compiles their phrases into
 Aho-Corasick automata of bounded size, streams its whole documents through each, and extends every match word by word
@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinelake.llm.shared import bitmap, bits_for, in_bitmap, partitions, stored, table
-from kinelake.llm.words import WordHashes, joined, mix, runs, shard_of, slices_by, texts_of
+from kinelake.llm.words import Words, joined, mix, runs, shard_of, slices_by, texts_of
 
-WINDOW, PART_WORDS, SHARD_BYTES, BLOCK_BYTES, PHRASES = 20, 400_000, 4 << 20, 6 << 20, 20_000
+WINDOW, PART_BYTES, SHARD_BYTES, BLOCK_BYTES, PHRASES = 20, 3 << 20, 4 << 20, 6 << 20, 20_000
 
 
 def first_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -48,48 +48,40 @@ def first_least(values: np.ndarray, width: int) -> np.ndarray:
 class _Part:
     """Words of some documents in one row, by key, with the windows that lie within a document."""
 
-    def __init__(self, keys: list[tuple[int, int]], words: list[list[bytes]], hashes: WordHashes, window: int):
+    def __init__(self, docs: list[tuple[int, int, bytes]], window: int):
+        docs.sort(key=lambda d: d[:2])
         self.window, self.phrase = window, window // 2
-        order = sorted(range(len(keys)), key=keys.__getitem__)
-        keys, words = [keys[i] for i in order], [words[i] for i in order]
-        self.size = np.array([len(w) for w in words], np.int64)
-        self.begin = np.concatenate([[0], np.cumsum(self.size)])[:-1]
-        self.key, self.block = np.array(keys, np.int64).reshape(-1, 2).T
-        self.texts = words
-        self.words = np.concatenate([*(hashes.of(w) for w in words), np.zeros(0, np.uint64)])
-        self.doc = np.repeat(np.arange(len(words)), self.size)
-        n = max(0, len(self.words) - window + 1)
+        self.key, self.block = np.array([d[:2] for d in docs], np.int64).reshape(-1, 2).T
+        self.words = Words([d[2] for d in docs])
+        size, hashes = self.words.size, self.words.hash
+        self.begin = self.words.last - size
+        self.doc = np.repeat(np.arange(len(docs)), size)
+        n = max(0, len(hashes) - window + 1)
         at = np.arange(n)
-        self.start = at[at - self.begin[self.doc[:n]] + window <= self.size[self.doc[:n]]]
-        short = runs(self.words, self.phrase)
-        self.hash = mix(joined(short[: max(0, len(short) - self.phrase)], short[self.phrase :], self.phrase)) if window == 2 * self.phrase else mix(runs(self.words, window))
+        self.start = at[at + window <= self.words.last[self.doc[:n]]]
+        short = runs(hashes, self.phrase)
+        self.hash = mix(joined(short[: max(0, len(short) - self.phrase)], short[self.phrase :], self.phrase))
         self.phrases = mix(short)
         self.anchor = first_least(self.phrases, window - self.phrase + 1)[self.start] if n else self.start
 
     def raw(self, begin: np.ndarray, end: np.ndarray) -> list[bytes]:
-        """The words of ranges, a space after each."""
-        flat = [w for t in self.texts for w in t]
-        line = b" ".join([*flat, b""])
-        at = np.concatenate([[0], np.cumsum(np.fromiter(map(len, flat), np.int64, len(flat)) + 1)])
-        return [line[a:e] for a, e in zip(at[begin].tolist(), at[end].tolist(), strict=True)]
+        """The texts of ranges of words, each with the blank after it."""
+        raw, a, e = self.words.raw, self.words.begin[begin], self.words.end[end - 1] + 1
+        return [raw[x:y] for x, y in zip(a.tolist(), e.tolist(), strict=True)]
 
 
-def _parts(batches, window: int, limit: int = PART_WORDS):
-    """Documents (``key, block, text``) in parts of about ``limit`` words."""
-    hashes, keys, words, total = WordHashes(), [], [], 0
+def _parts(batches, window: int, limit: int = PART_BYTES):
+    """Documents (``key, block, text``) in parts of about ``limit`` bytes."""
+    docs, total = [], 0
     for batch in batches:
         for k, b, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch.column(2)), strict=True):
-            w = t.split()
-            if len(w) < window:
-                continue
-            keys.append((k, b))
-            words.append(w)
-            total += len(w)
+            docs.append((k, b, t))
+            total += len(t)
             if total >= limit:
-                yield _Part(keys, words, hashes, window)
-                keys, words, total = [], [], 0
-    if keys:
-        yield _Part(keys, words, hashes, window)
+                yield _Part(docs, window)
+                docs, total = [], 0
+    if docs:
+        yield _Part(docs, window)
 
 
 def recurring_anchors(rows: DataFrame, window: int, shards: int) -> np.ndarray:
@@ -371,7 +363,7 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK
     ``doc_id`` comes before all others; repeated rows are one document (rows of equal ``doc_id`` and other text don't
     precede each other); an empty table stays empty. Columns of those names, and those that begin with ``_kl_``, are
     replaced. No word is removed but by equal words; that a window's only copy is missed takes two equal 64-bit hashes
-    of windows within a part of ``PART_WORDS`` words.
+    of windows within a part of ``PART_BYTES``.
     """
     if window % 2 or not 2 <= window <= 80:
         raise ValueError("window must be even and at most 80")

@@ -9,19 +9,6 @@ import xxhash
 _C = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, kept for the frequent ones; emptied when it has grown large."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 250_000:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Spreads a polynomial hash over all 64 bits."""
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -45,6 +32,41 @@ def joined(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
     return left * np.uint64(pow(int(_C), n, 1 << 64)) + right
 
 
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_BLANK = np.array([c == 32 or 9 <= c <= 13 for c in range(256)])
+
+
+def word_hashes(raw: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words at these places, eight bytes at a time; ``raw`` has eight more bytes than they need."""
+    eight = np.ndarray((max(0, len(raw) - 7),), "<u8", raw, strides=(1,))
+    size = end - begin
+    h = mix(size.astype(np.uint64) * _C ^ (eight[begin] & _MASKS[np.minimum(size, 8)]))
+    for k in range(1, 9):
+        rest = np.flatnonzero(size > 8 * k)
+        if not len(rest):
+            return h
+        h[rest] = mix(h[rest] * _C ^ (eight[begin[rest] + 8 * k] & _MASKS[np.minimum(size[rest] - 8 * k, 8)]))
+    for i in np.flatnonzero(size > 72).tolist():
+        h[i] = xxhash.xxh64_intdigest(raw[begin[i] : end[i]])
+    return h
+
+
+class Words:
+    """Words (runs without bytes 9-13 and 32) of texts: where they stand in ``raw``, their hashes, and how many each text has."""
+
+    def __init__(self, texts: list[bytes]):
+        self.raw = b" ".join([*texts, b" " * 9])
+        blank = _BLANK[np.frombuffer(self.raw, np.uint8)]
+        turns = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+        if len(blank) and not blank[0]:
+            turns = np.concatenate([[0], turns])
+        self.begin, self.end = turns[::2], turns[1::2]
+        self.hash = word_hashes(self.raw, self.begin, self.end)
+        edges = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        self.last = np.searchsorted(self.begin, edges)  # number of the word after each text's last
+        self.size = np.diff(self.last, prepend=0)
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """Null counts as empty."""
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
