@@ -1,11 +1,11 @@
 """Quality rules with risk-controlled cutoffs, in DataFrame operations only.
 
-Every rule rejects documents whose measure is at or above a cutoff. Labelled documents are the holdout: for each stratum
-(language) and rule, cutoffs are tested from the most lenient on, by the exact binomial tail of the number of good
-documents that would be rejected, until the first that can't be certified (fixed-sequence testing). The level is
-divided by the number of strata and rules (Bonferroni), and the tolerated share by the number of rules, so that with
-probability ``1 - level`` all rules together falsely reject at most ``tolerated`` of the good documents of every stratum.
-Of the certified cutoffs the one is taken that catches most bad documents against good ones.
+Every rule rejects documents whose measure is at or above a cutoff. Labelled documents, each text once, are the holdout, by
+stratum (language). A third of them orders the choices: one nested family of cutoffs of all rules together, from lenient
+to strict. The others test it: from the most lenient on, the exact binomial tail of the number of good documents that the
+rules would reject together, until the first choice that can't be certified (fixed-sequence testing, at the full tolerated
+share). The level is divided by the number of strata (Bonferroni). So with probability ``1 - level`` the rules falsely
+reject at most ``tolerated`` of the good documents of every stratum, whichever certified choice is taken.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from kinelake.llm.shared import let, steps, stored, table
 TOLERATED, LEVEL, MAX_STRATA = 0.05, 0.05, 256
 SPACE = " \t\n\x0b\f\r"
 _HASH, _AT = 0xFFFFFFFFFF, 0xFFFFFF  # a window as one long: 40 bits of its hash, 24 bits of its place
+#: the nested family: steps of a rule's cutoffs before the strictest that rejects at most a share of the ordering third's good documents
+FAMILY = ((2, 0.0), (1, 0.0), (0, 0.0), (0, 0.0025), (0, 0.005), (0, 0.01), (0, 0.02))
 
 #: measure: cutoffs, most lenient first. Shares of word characters, lines or words.
 RULES = {
@@ -33,44 +35,62 @@ RULES = {
 }
 
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
 def repeat_words(words):
-    """Words in 3-word windows found twice or more, of an array of words: sort the windows, look at neighbours."""
+    """Words in 3-word windows found twice or more, of an array of words: sort the windows, look at neighbours.
+
+    Windows are sorted as hash and place in one long. Where different windows meet under one hash, or places need more
+    than 24 bits, the windows themselves are sorted instead.
+    """
 
     def of(w):
         key = lambda i: F.shiftleft(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).bitwiseAND(F.lit(_HASH)), 24).bitwiseOR(i.cast("long"))
-        return let(F.sort_array(F.transform(steps(F.size(w) - 2), key)), lambda s: covered(w, s))
+        quick = let(F.sort_array(F.transform(steps(F.size(w) - 2), key)), lambda s: by_hash(w, s))
+        return F.when(F.size(w) <= _AT, quick).otherwise(by_words(w))
 
-    def covered(w, s):
+    def by_hash(w, s):
         place = lambda x: x.bitwiseAND(F.lit(_AT)).cast("int")
 
-        def same(x, y):
+        def pair(x, y):
             i, j = place(x), place(y)
             text = (F.get(w, i) == F.get(w, j)) & (F.get(w, i + 1) == F.get(w, j + 1)) & (F.get(w, i + 2) == F.get(w, j + 2))
-            return F.coalesce((F.shiftright(x, 24) == F.shiftright(y, 24)) & text, F.lit(False))
+            return F.when(F.shiftright(x, 24) == F.shiftright(y, 24), F.when(text, 1).otherwise(2)).otherwise(0)
+
+        found = F.transform(s, lambda x, k: pair(x, F.get(s, k + 1)))
+        return let(found, lambda f: F.when(F.array_contains(f, 2), by_words(w)).otherwise(covered(s, f, place)))
 
-        twice = F.transform(F.filter(s, lambda x, k: same(x, F.get(s, k + 1)) | same(x, F.get(s, k - 1))), place)
+    def by_words(w):
+        window = lambda i: F.struct(F.get(w, i).alias("a"), F.get(w, i + 1).alias("b"), F.get(w, i + 2).alias("c"), i.alias("i"))
+        same = lambda x, y: F.when((x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"]), 1).otherwise(0)
+        sort = F.sort_array(F.transform(steps(F.size(w) - 2), window))
+        return let(sort, lambda s: let(F.transform(s, lambda x, k: same(x, F.get(s, k + 1))), lambda f: covered(s, f, lambda x: x["i"])))
+
+    def covered(s, f, place):
+        twice = F.transform(F.filter(s, lambda x, k: (F.get(f, k) == 1) | (F.coalesce(F.get(f, k - 1), F.lit(0)) == 1)), place)
         start = F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last"))
         return F.aggregate(F.sort_array(twice), start, lambda a, i: F.struct((a["n"] + F.least(F.lit(3), i - a["last"])).alias("n"), i.alias("last")))["n"]
 
     return let(words, of)
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """``doc_id, stratum`` with the counts and the measures of every whole text; a null text has no words.
+def measures(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """``doc_id, stratum, text_hash`` (with ``carry`` also ``_kl_row``, all columns of the row) with the counts and the measures of every whole text; a null text has no words.
 
     Without a column ``lang`` all rows are of one stratum. Words are runs without white space (9-13, 32).
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     blank = "[\\x20\\x09-\\x0D]"
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
-    lines = F.transform(F.filter(F.split("text", "\n", -1), lambda x: F.length(F.translate(x, SPACE, "")) > 0), lambda x: F.xxhash64(x))
-    rest = docs.select("doc_id", lang.alias("stratum"), text.alias("text"))
+    lines = F.filter(F.split("text", "\n", -1), lambda x: F.length(F.translate(x, SPACE, "")) > 0)
+    known = ["doc_id", "stratum", "text_hash"] + ["_kl_row"] * carry
+    rest = docs.select("doc_id", lang.alias("stratum"), F.xxhash64(text).alias("text_hash"), text.alias("text"), *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_kl_row")] if carry else []))
     rest = rest.select("*", F.filter(F.split("text", f"{blank}+", -1), lambda x: x != "").alias("words"), F.translate("text", SPACE, "").alias("ink"), lines.alias("lines"))
     share = lambda n, d: F.coalesce(F.try_divide(n.cast("double"), d.cast("double")), F.lit(0.0))
     without = lambda chars: F.length("ink") - F.length(F.translate("ink", chars, ""))
     counts = rest.select(
-        "doc_id",
-        "stratum",
+        *known,
         F.size("words").cast("long").alias("n_words"),
         F.length("ink").cast("long").alias("word_chars"),
         without("#*$%&|<>").cast("long").alias("n_symbols"),
@@ -82,7 +102,8 @@ def measures(docs: DataFrame) -> DataFrame:
         (F.length("ink") - F.length(F.regexp_replace("ink", "\\p{Lu}+", ""))).alias("n_capitals"),
     )
     return counts.select(
-        *counts.columns[:7],
+        *known,
+        *COUNTS,
         share(F.col("n_symbols"), F.col("word_chars")).alias("symbols"),
         share(F.col("n_capitals"), F.col("word_chars")).alias("capitals"),
         share(F.col("n_exclaims"), F.col("word_chars")).alias("exclaims"),
@@ -101,73 +122,114 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.fsum(map(math.exp, logs)))
 
 
-def _tallies(measured: DataFrame, labels: DataFrame, rules) -> tuple[list, DataFrame]:
-    """Counts by stratum and quality for the driver, and the strata that are pooled there (as stratum null)."""
-    known = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    names = ["n", *(f"{r}_{j}" for r, cuts in rules.items() for j in range(len(cuts)))]
-    tallies = [F.sum((F.col(r) >= c).cast("long")).alias(f"{r}_{j}") for r, cuts in rules.items() for j, c in enumerate(cuts)]
-    rows = measured.join(known, "doc_id").groupBy("stratum", (F.col("quality") == 1).alias("good")).agg(F.count("*").alias("n"), *tallies)
-    rows = stored(rows, "tallies")
-    large = rows.groupBy("stratum").agg(F.sum("n").alias("_all")).orderBy(F.desc("_all"), "stratum").limit(MAX_STRATA).select("stratum", F.col("stratum").alias("own"))
+def _labelled(measured: DataFrame, labels: DataFrame, rules) -> tuple[DataFrame, DataFrame]:
+    """Labelled texts, each once for a stratum, with ``own`` (the stratum, or null for pooled ones), ``good`` and ``orders``; and the pooled strata."""
+    known = labels.where("quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    rows = measured.join(known, "doc_id").groupBy("stratum", "text_hash").agg((F.max("quality") == 1).alias("good"), *[F.max(r).alias(r) for r in rules])
+    rows = stored(rows.withColumn("orders", F.pmod(F.xxhash64("text_hash", F.lit(7)), F.lit(3)) == 0), "labelled")
+    large = rows.groupBy("stratum").agg(F.count("*").alias("_all")).orderBy(F.desc("_all"), "stratum").limit(MAX_STRATA).select("stratum", F.col("stratum").alias("own"))
     marked = rows.join(F.broadcast(large), "stratum", "left")
-    counts = marked.groupBy(F.col("own").alias("stratum"), "good").agg(*[F.sum(n).alias(n) for n in names])
-    return counts.collect(), marked.where("own is null").select("stratum").distinct()
+    return marked, marked.where("own is null").select("stratum").distinct()
+
+
+def nested_family(good: dict, bad: dict, rules=RULES, family=FAMILY) -> list[list[float]]:
+    """Cutoffs of all rules (infinite: unused), lenient first, from tallies of the ordering third (``n`` and ``rule_j``).
+
+    A rule takes part as far as it catches bad documents, ten times as large a share as of good ones.
+    """
+    out: list[list[float]] = []
+    for back, share in family:
+        vector = []
+        for rule, cuts in rules.items():
+            fits = [j for j in range(len(cuts)) if good[f"{rule}_{j}"] <= share * good["n"] and bad[f"{rule}_{j}"] * good["n"] > 10 * good[f"{rule}_{j}"] * bad["n"]]
+            j = max(fits, default=-1) - back
+            # no stricter than what a later choice has: cutoffs fall along the family
+            vector.append(float(cuts[j]) if j >= 0 else math.inf)
+        vector = [min(v, w) for v, w in zip(vector, out[-1], strict=True)] if out else vector
+        if vector not in out and any(v < math.inf for v in vector):
+            out.append(vector)
+    return out
+
+
+def certified_choice(tests: list[tuple[int, int]], n: int, n_bad: int, tolerated: float, level: float) -> int | None:
+    """Of a family's ``(good rejected, bad rejected)``, in order: the certified choice that catches most bad against good documents."""
+    best = None
+    for j, (k, caught) in enumerate(tests):
+        if k > tolerated * n or binomial_tail(k, n, tolerated) > level:
+            break
+        gain = caught / max(1, n_bad) - 10 * k / n
+        if best is None or gain > best[0] + 1e-12:
+            best = (gain, j)
+    return best[1] if best and best[0] >= 0 else None
+
+
+def _certify(marked: DataFrame, tolerated: float, level: float, rules) -> dict[str | None, list[float]]:
+    """By stratum, the cutoffs of all rules. The driver gets two rows of counts for each of at most ``MAX_STRATA + 1`` strata, twice."""
+    spark = marked.sparkSession
+    tallies = [F.sum((F.col(r) >= c).cast("long")).alias(f"{r}_{j}") for r, cuts in rules.items() for j, c in enumerate(cuts)]
+    counts = {(r["own"], r["good"]): r.asDict() for r in marked.where("orders").groupBy("own", "good").agg(F.count("*").alias("n"), *tallies).collect()}
+    families = {s: nested_family(counts[s, True], counts[s, False], rules) for s, g in counts if g and (s, False) in counts}
+    families = {s: f for s, f in families.items() if f}
+    if not families:
+        return {}
+    width = max(map(len, families.values()))
+    known = spark.createDataFrame([(s, f) for s, f in families.items()], "of string, family array<array<double>>")
+    values = F.array(*[F.col(r) for r in rules])
+    hit = lambda j: F.coalesce(F.exists(F.zip_with(values, F.get("family", F.lit(j)), lambda x, c: x >= c), lambda x: x), F.lit(False))
+    tested = marked.where("not orders").join(F.broadcast(known), F.col("own").eqNullSafe(F.col("of")))
+    found = {(r["of"], r["good"]): r for r in tested.groupBy("of", "good").agg(F.count("*").alias("n"), *[F.sum(hit(j).cast("long")).alias(f"k{j}") for j in range(width)]).collect()}
+    out = {}
+    for s, f in families.items():
+        if (s, True) in found:
+            good, bad = found[s, True], found.get((s, False))
+            tests = [(good[f"k{j}"], bad[f"k{j}"] if bad else 0) for j in range(len(f))]
+            j = certified_choice(tests, good["n"], bad["n"] if bad else 0, tolerated, level / len(families))
+            if j is not None:
+                out[s] = f[j]
+    return out
 
 
 def certified_cutoffs(measured: DataFrame, labels: DataFrame, tolerated: float = TOLERATED, level: float = LEVEL, rules=RULES) -> dict[str | None, dict[str, float]]:
-    """By stratum and rule, the cutoff chosen among the certified ones; a rule without one isn't there.
+    """By stratum and rule, the certified cutoff; a rule that isn't used, or a stratum without a certified choice, isn't there.
 
-    The ``MAX_STRATA`` strata with most labelled documents stand alone; further ones that have any are pooled as one, None,
-    and certified together. The driver gets two rows of counts for each. Null labels are left out, repeated ones count once.
+    The ``MAX_STRATA`` strata with most labelled texts stand alone; further ones that have any are pooled as one, None, and
+    certified together. Null labels are left out; of repeated ones the largest counts; copies of a text count once.
     """
-    return _chosen(_tallies(measured, labels, rules)[0], tolerated, level, rules)
+    found = _certify(_labelled(measured, labels, rules)[0], tolerated, level, rules)
+    return {s: {r: c for r, c in zip(rules, cuts, strict=True) if c < math.inf} for s, cuts in found.items()}
 
 
-def _chosen(rows: list, tolerated: float, level: float, rules) -> dict[str | None, dict[str, float]]:
-    good, bad = ({r["stratum"]: r for r in rows if r["good"] == g} for g in (True, False))
-    found: dict[str | None, dict[str, float]] = {}
-    for stratum, row in good.items():
-        for rule, cuts in rules.items():
-            best = None
-            for j, cut in enumerate(cuts):
-                k, n = row[f"{rule}_{j}"], row["n"]
-                if k > tolerated / len(rules) * n or binomial_tail(k, n, tolerated / len(rules)) > level / (len(good) * len(rules)):
-                    break
-                caught = bad[stratum][f"{rule}_{j}"] / bad[stratum]["n"] if stratum in bad else 0.0
-                gain = caught - 10 * k / n
-                if caught and (best is None or gain > best[0] + 1e-12):
-                    best = (gain, cut)
-            if best and best[0] > 0:
-                found.setdefault(stratum, {})[rule] = float(best[1])
-    return found
-
-
-def judge(docs: DataFrame, labels: DataFrame, tolerated: float = TOLERATED, level: float = LEVEL) -> DataFrame:
-    """Counts, measures, ``base_failed``, ``rejected_by`` (names of rules) and ``kept`` of every document.
-
-    Empty tables give no rows; a null or empty text fails the base; repeated rows are judged alike; with too few labels
-    nothing is certified and only the base rejects. The measures are written once, in the shared folder.
+def judge(docs: DataFrame, labels: DataFrame, tolerated: float = TOLERATED, level: float = LEVEL, carry: bool = False) -> DataFrame:
+    """``doc_id, stratum``, counts, measures, ``base_failed``, ``rejected_by`` (names of rules) and ``kept`` of every document.
+
+    Empty tables give no rows; a null or empty text fails the base; very long texts are measured whole; ties at a cutoff
+    are rejected; repeated rows are judged alike; with too few labels nothing is certified and only the base rejects. Of
+    the input's columns only ``doc_id``, ``text`` and ``lang`` are looked at; with ``carry`` all are returned in the struct
+    ``_kl_row``. The measures are written once, in the shared folder.
     """
-    measured = stored(measures(docs), "quality")
-    rows, pooled = _tallies(measured, labels, RULES)
-    cutoffs = _chosen(rows, tolerated, level, RULES)
-    by, columns = F.array().cast("array<string>"), measured.columns
-    if None in cutoffs:
-        measured = measured.join(pooled.withColumn("_kl_pooled", F.lit(True)), "stratum", "left")
-    for stratum, rules in cutoffs.items():
-        hits = F.array(*[F.when(F.col(r) >= c, r) for r, c in rules.items()])
-        mine = F.col("_kl_pooled") if stratum is None else F.col("stratum") == stratum
-        by = F.when(mine, F.filter(hits, lambda x: x.isNotNull())).otherwise(by)
+    measured = stored(measures(docs, carry), "quality")
+    marked, pooled = _labelled(measured, labels, RULES)
+    found = _certify(marked, tolerated, level, RULES)
+    schema = "stratum string, _kl_cuts array<double>"
+    cuts = docs.sparkSession.createDataFrame([(s, c) for s, c in found.items() if s is not None], schema)  # at most MAX_STRATA rows
+    rows = measured.join(F.broadcast(cuts), "stratum", "left")
+    if None in found:
+        rest = pooled.withColumn("_kl_rest", F.array(*map(F.lit, found[None])))
+        rows = rows.join(rest, "stratum", "left").withColumn("_kl_cuts", F.coalesce("_kl_cuts", "_kl_rest")).drop("_kl_rest")
+    hits = F.filter(F.array(*[F.when(F.col(r) >= F.get("_kl_cuts", F.lit(k)), r) for k, r in enumerate(RULES)]), lambda x: x.isNotNull())
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return measured.select(*columns, failed.alias("base_failed"), by.alias("rejected_by")).withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
+    out = rows.select(*measured.columns, failed.alias("base_failed"), hits.alias("rejected_by"))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` (null is one too) is judged kept, with their columns; of rows that share one, any decides for all."""
-    good = judge(docs, labels).where("kept").select(F.col("doc_id").alias("_kl_id")).distinct()
-    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("_kl_id")), "left_semi").select(docs.columns)
+    """The rows of ``docs`` that are judged kept, with their columns; each row by its own text, whatever its ``doc_id``.
+
+    Nulls, empty and very long texts, ties, repeated rows and empty tables are as in ``judge``. Rows are written once with their measures, and not shuffled.
+    """
+    return judge(docs, labels, carry=True).where("kept").select("_kl_row.*")
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return rows.select("doc_id", *COUNTS, "base_failed", "kept")

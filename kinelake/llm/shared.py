@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or where it is unset in local mode, a temporary one.
+
+    On a cluster without the setting this raises an error, as executors can't read each other's folders.
+    """
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="kinelake-")
+        atexit.register(shutil.rmtree, at, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
 
@@ -31,6 +40,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def masked(docs: DataFrame, seen: tuple[str, ...]) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """``docs`` with all columns but those of ``seen`` under names of their own, so that no name of an operator's meets them.
+
+    Also a function that gives a frame with these columns the input's names and order again, and appends further columns.
+    Input columns that have the name of an appended one give way to it.
+    """
+    names = {c: c if c in seen else f"_kl_c{i}" for i, c in enumerate(docs.columns)}
+
+    def restored(df: DataFrame, *added: str) -> DataFrame:
+        return df.select(*[F.col(names[c]).alias(c) for c in docs.columns if c not in added], *added)
+
+    return docs.select([F.col(f"`{c}`").alias(n) for c, n in names.items()]), restored
+
+
 def ascii_lower(col):
     """Lower-cases A-Z and nothing else."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
