@@ -2,12 +2,16 @@
 
 A configuration is a multiset of lengths that fits one sequence. The covering program (fewest configurations that hold
 all pieces) is solved by multiplicative weights: lengths not covered yet are dear, and a knapsack dynamic program prices
-the best next configuration. Its solution is rounded down; what is left of the histogram is packed best-fit, longest
-first. All this sees only counts of lengths, so its cost doesn't depend on the number of documents.
+the best next configuration. Every pricing also gives a bound: no packing needs fewer sequences than the demand's value
+by the value of the best configuration. The solution is rounded down; what is left of the histogram is packed best-fit,
+longest first. The program is solved for several rates and rounded for several amounts of waste allowed, and the plan of fewest sequences is taken;
+best-fit of everything (the program's solution rounded to nothing) is one of them. All this sees only counts of lengths,
+so its cost doesn't depend on the number of documents.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
@@ -15,9 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kinelake.llm.shared import stored, table
+from kinelake.llm.shared import masked, partitions, stored, table
 
 CAPACITY, END_ID, SALTS, TOKENIZER = 1024, 2, 64, "byte_bpe_50k"
+#: what the program is solved and rounded with: rates of the weights, tokens of waste of a configuration
+RATES, SLACKS = (1.0, 4.0), (0, 4, 1024)
 
 
 # --- the program over the histogram ---
@@ -47,25 +53,37 @@ def best_configuration(value: np.ndarray, capacity: int) -> np.ndarray:
     return out
 
 
-def configuration_program(demand: np.ndarray, capacity: int, step: float = 0.5, eta: float = 0.2, rounds: int = 3000) -> list[tuple[np.ndarray, float]]:
-    """Configurations with amounts that cover the demand up to less than a piece of each length, by multiplicative weights.
+def configuration_program(demand: np.ndarray, capacity: int, eta: float, step: float = 0.2, rounds: int = 1500) -> tuple[list[tuple[np.ndarray, float]], float]:
+    """Configurations with amounts that cover the demand up to less than a piece of each length, and a bound from below.
 
     A length's weight falls by ``exp(-eta)`` as its whole demand is covered, against the mean of all; its price is this
     weight by its size (the dual of a program whose sequences can all be filled). Each round takes the dearest
     configuration until a share ``step`` of the demand of one of its lengths, or what is left of it, is covered.
     """
-    left, out, sizes = demand.astype(float).copy(), [], np.arange(capacity + 1) / capacity
+    left, out, sizes, bound = demand.astype(float).copy(), [], np.arange(capacity + 1) / capacity, 0.0
     for _ in range(rounds):
         need = left >= 1
         if not need.any():
             break
         share = np.where(need, left / np.maximum(demand, 1), 0.0)
         mean = (share * demand * sizes).sum() / (demand[need] * sizes[need]).sum()
-        config = best_configuration(np.where(need, sizes * np.exp(eta * (share - mean)), 0.0), capacity)
+        price = np.where(need, sizes * np.exp(eta * (share - mean)), 0.0)
+        config = best_configuration(price, capacity)
+        bound = max(bound, float(price @ demand) / float(price @ config))
         used = np.flatnonzero(config)
         amount = min(float((left[used] / config[used]).min()), max(1.0, step * float((demand[used] / config[used]).min())))
         left[used] -= amount * config[used]
         out.append((config, amount))
+    return out, bound
+
+
+def least_sequences(demand: np.ndarray, capacity: int = CAPACITY) -> int:
+    """A bound from below by three prices: the size, one for all pieces, and one by how many pieces of that length fit a sequence."""
+    sizes = np.arange(len(demand))
+    out = -(-int(demand @ sizes) // capacity)
+    for worth in (np.ones(len(demand)), 1 / (capacity // np.maximum(sizes, 1))) if demand.any() else ():
+        price = np.where(demand > 0, worth, 0.0)
+        out = max(out, math.ceil(float(price @ demand) / float(price @ best_configuration(price, capacity)) - 1e-6))
     return out
 
 
@@ -116,17 +134,12 @@ def best_fit(demand: np.ndarray, capacity: int) -> list[tuple[dict[int, int], in
     return out
 
 
-def plan_sequences(demand: np.ndarray, capacity: int = CAPACITY, slack: int = 4) -> list[tuple[dict[int, int], int]]:
-    """Configurations with whole numbers of sequences that hold exactly the pieces of ``demand`` (a count for each length).
-
-    Amounts are rounded down, and only configurations that waste less than ``slack`` are taken from the program; what is
-    left of the demand, about a hundredth of it, is packed best-fit.
-    """
-    left, out = demand.astype(np.int64).copy(), []
-    sizes = np.arange(len(demand))
-    for config, amount in configuration_program(demand.astype(float), capacity):
+def _rounded(program: list[tuple[np.ndarray, float]], demand: np.ndarray, capacity: int, slack: int) -> list[tuple[dict[int, int], int]]:
+    """Amounts rounded down, of configurations that waste at most ``slack``; the rest best-fit."""
+    left, out, sizes = demand.astype(np.int64).copy(), [], np.arange(len(demand))
+    for config, amount in program:
         used = np.flatnonzero(config)
-        if int((config * sizes).sum()) < capacity - slack:
+        if int(config @ sizes) < capacity - slack:
             continue
         n = min(int(amount), int((left[used] // config[used]).min()))
         if n > 0:
@@ -135,6 +148,26 @@ def plan_sequences(demand: np.ndarray, capacity: int = CAPACITY, slack: int = 4)
     return out + best_fit(left, capacity)
 
 
+def plan_with_bound(demand: np.ndarray, capacity: int = CAPACITY, rates=RATES, slacks=SLACKS) -> tuple[list[tuple[dict[int, int], int]], int]:
+    """Configurations with whole numbers of sequences that hold exactly the pieces of ``demand`` (a count for each length), and a bound from below.
+
+    The plan of fewest sequences of all rates, roundings and plain best-fit; none is tried after one meets the bound.
+    """
+    needs = lambda plan: sum(n for _, n in plan)
+    best, bound = best_fit(demand.astype(np.int64), capacity), least_sequences(demand, capacity)
+    for eta in rates:
+        if needs(best) <= bound:
+            break
+        program, least = configuration_program(demand.astype(float), capacity, eta)
+        bound = max(bound, math.ceil(least - 1e-6))
+        best = min([best, *(_rounded(program, demand, capacity, slack) for slack in slacks)], key=needs)
+    return best, bound
+
+
+def plan_sequences(demand: np.ndarray, capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
+    return plan_with_bound(demand, capacity)[0]
+
+
 # --- documents ---
 
 
@@ -167,7 +200,9 @@ def token_encoder(name: str = TOKENIZER):
 def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str = TOKENIZER, with_ids: bool = False) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` of every document's ids and the end id; with ``with_ids``, also ``ids``.
 
-    A null text is empty. Only documents of more than ``capacity`` ids are cut, so that all pieces but the first are full.
+    A null or empty text is the end id alone. Only documents of more than ``capacity`` ids are cut, so that all pieces but
+    the first are full, however long the text. Repeated rows give their pieces each; an empty table gives none; columns
+    other than ``doc_id`` and ``text`` are not looked at.
     """
     import zlib
 
@@ -194,16 +229,18 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID
     return docs.select("doc_id", "text").mapInArrow(cut, schema)
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, salts: int | None = None) -> DataFrame:
     """All columns of ``pieces`` (one ``length`` of 1 to ``capacity`` each) with ``sequence_id`` and ``offset``.
 
     Pieces are told apart by their rank among those of equal length, so one common length would be one sort: ranks are
-    counted within salted parts and carried on by the parts' counts (``salts * capacity`` of them at most). Columns
-    ``sequence_id`` and ``offset`` of the input's are replaced. Repeated rows are packed each; an empty table stays empty.
+    counted within salted parts and carried on by the parts' counts. There are as many parts of a length as partitions, so
+    the driver gets that many counts a length at most. Columns ``sequence_id`` and ``offset`` of the input's are
+    replaced, no other name matters. Repeated rows (ties) are packed each; an empty table stays empty.
     """
-    pieces = pieces.drop("sequence_id", "offset")
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
-    counts = sorted((r["length"], r["_salt"], r["n"]) for r in salted.groupBy("length", "_salt").agg(F.count("*").alias("n")).collect())
+    salts = salts or max(SALTS, partitions(pieces))
+    rows, restored = masked(pieces, ("doc_id", "piece", "length"))
+    salted = rows.withColumn("_kl_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
+    counts = sorted((r["length"], r["_kl_salt"], r["n"]) for r in salted.groupBy("length", "_kl_salt").agg(F.count("*").alias("n")).collect())
     demand, before = np.zeros(capacity + 1, np.int64), np.zeros((capacity + 1, salts), np.int64)
     for length, salt, n in counts:
         before[length, salt] = demand[length]
@@ -222,10 +259,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> Dat
     slots.sort()
     keys = np.array([(length << 44) + first for length, first, _, _ in slots], np.int64)
     firsts, sequences, offsets = (np.array([s[k] for s in slots], np.int64) for k in (1, 2, 3))
-    columns = pieces.columns
+    columns = rows.columns
     at = columns.index("length")
-    order = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece")
-    ranked = salted.withColumn("_rank", F.row_number().over(order).cast("long") - 1)
+    order = Window.partitionBy("length", "_kl_salt").orderBy("doc_id", "piece")
+    ranked = salted.withColumn("_kl_rank", F.row_number().over(order).cast("long") - 1)
 
     def place(batches):
         for batch in batches:
@@ -236,8 +273,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> Dat
 
     from pyspark.sql import types as T
 
-    schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return ranked.mapInArrow(place, schema)
+    schema = T.StructType([*rows.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    return restored(ranked.mapInArrow(place, schema), "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
