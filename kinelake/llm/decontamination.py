@@ -8,16 +8,18 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import defaultdict
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinelake.llm.shared import table
+from kinelake.llm.shared import masked, table
 
-WINDOW, BLOCK_BYTES, MAX_COVERAGE = 10, 8 << 20, 0.5
+WINDOW, BLOCK_BYTES, MAX_ITEM_BYTES, MAX_COVERAGE = 10, 2 << 20, 1 << 30, 0.5
 
 #: Bytes outside words become spaces and A-Z become a-z; bytes of other scripts stay, so no code point is cut.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 48 or 58 <= c <= 96 or 123 <= c <= 127 else c for c in range(256))
@@ -157,44 +159,85 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 _SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
+_SPANS_ARROW = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+_compiled: dict[tuple, SuffixAutomaton] = {}
+
+
+def _automaton(name: tuple, block: list[tuple], window: int) -> SuffixAutomaton:
+    """One automaton at a time stays in a worker, for its later tasks."""
+    if name not in _compiled:
+        _compiled.clear()
+        _compiled[name] = SuffixAutomaton([(k, words_of(t)) for k, t in block], window)
+    return _compiled[name]
+
+
+def _sorted_keys(keys: set) -> list:
+    """As strings; a null one, if there, last."""
+    return sorted(k for k in keys if k is not None) + [None] * (None in keys)
+
+
 def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """All columns of ``docs`` with ``n_words``, ``hit_spans`` (word places, end exclusive) and ``item_ids``.
 
-    ``window`` consecutive words of an item, or a whole item of fewer words, make a window. Items without words have
-    none; a null text has no words; repeated rows are judged alike; an empty table stays empty; columns of the input's
-    with those three names are replaced. The items go to the tasks in blocks of about ``block_bytes`` of text, one pass
-    over the rows (without a shuffle) for each block.
+    ``window`` consecutive words of an item, or a whole item of fewer words, make a window. Items without words have none;
+    items of one ``item_id`` (or of none: it stands in ``item_ids`` as null, last) count as one item; a null text has no
+    words; very long texts are streamed whole; repeated rows are judged alike; an empty table stays empty; columns of the
+    input's with those three names are replaced.
+
+    The items go to the tasks in blocks of about ``block_bytes`` of text, so that a task holds one block's automaton at a
+    time: the first block's hits are found with the rows, without a shuffle; those of each further block in tasks of their
+    own, and joined by ``doc_id`` and text. All items together may have ``MAX_ITEM_BYTES``; more raise an error.
     """
     docs = docs.drop("n_words", "hit_spans", "item_ids")
     known = items.where("text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
     size = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(size / block_bytes))
+    if size > MAX_ITEM_BYTES:
+        raise ValueError(f"the items have {size} bytes of text; MAX_ITEM_BYTES is {MAX_ITEM_BYTES}")
+    blocks, run = max(1, math.ceil(size / block_bytes)), uuid.uuid4().hex
     columns = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("hit_spans", _SPANS), T.StructField("item_ids", T.ArrayType(T.StringType()))])
-    out = docs.withColumns({"n_words": F.lit(0).cast("long"), "hit_spans": F.array().cast(_SPANS), "item_ids": F.array().cast("array<string>")})
-    for b in range(blocks):
+
+    def scanned(rows: DataFrame, b: int, hits_only: bool) -> DataFrame:
         block = [(r[0], r[1].encode()) for r in known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).toLocalIterator()]
+        names = rows.columns
+        at, width = names.index("text"), len(names)
+        keep = [c for c in names if not (hits_only and c == "text")]
 
-        def scan(batches, block=block):
-            automaton = SuffixAutomaton([(k, words_of(t)) for k, t in block], window)
+        def scan(batches):
+            automaton = _automaton((run, b), block, window)
             for batch in batches:
-                text = batch.column(columns.index("text")).cast(pa.binary())
                 counts, hits, found = [], [], []
-                before = zip(batch.column(len(columns) + 1).to_pylist(), batch.column(len(columns) + 2).to_pylist(), strict=True)
-                for t, (old_spans, old_items) in zip(text, before, strict=True):
+                for t in batch.column(at).cast(pa.binary()):
                     words = words_of(t.as_py())
                     spans, keys = automaton.follow(words)
-                    if old_spans:
-                        spans = _merge(spans + [(s["start"], s["end"]) for s in old_spans])
                     counts.append(len(words))
                     hits.append([{"start": a, "end": e} for a, e in spans])
-                    found.append(sorted(keys | set(old_items)))
-                spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-                added = [pa.array(counts, pa.int64()), pa.array(hits, spans_type), pa.array(found, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], *added], names=[*columns, "n_words", "hit_spans", "item_ids"])
+                    found.append(_sorted_keys(keys))
+                added = [pa.array(counts, pa.int64()), pa.array(hits, _SPANS_ARROW), pa.array(found, pa.list_(pa.string()))]
+                out = pa.RecordBatch.from_arrays([*batch.columns[:width], *added], names=[*names, "n_words", "hit_spans", "item_ids"])
+                yield out.select([*keep, "n_words", "hit_spans", "item_ids"]).filter(pa.array([bool(h) for h in hits], pa.bool_())) if hits_only else out
+
+        fields = [f for f in rows.schema.fields if f.name in keep]
+        return rows.mapInArrow(scan, T.StructType([*fields, T.StructField("n_words", T.LongType()), T.StructField("hit_spans", _SPANS), T.StructField("item_ids", T.ArrayType(T.StringType()))]))
+
+    out = scanned(docs, 0, False)
+    if blocks == 1:
+        return out
+    key = [F.col("doc_id").alias("_kl_id"), F.xxhash64("text").alias("_kl_hash")]
+    distinct = docs.where("text is not null").select(*key, "text")
+    more = reduce(DataFrame.unionByName, [scanned(distinct, b, True) for b in range(1, blocks)])
+    more = more.groupBy("_kl_id", "_kl_hash").agg(F.array_distinct(F.flatten(F.collect_set("hit_spans"))).alias("_kl_spans"), F.array_distinct(F.flatten(F.collect_set("item_ids"))).alias("_kl_items"))
+    joined = out.join(more, F.col("doc_id").eqNullSafe(F.col("_kl_id")) & (F.xxhash64("text") == F.col("_kl_hash")), "left")
+    ids = F.array_distinct(F.concat("item_ids", F.coalesce("_kl_items", F.array().cast("array<string>"))))
+    ordered = F.concat(F.array_sort(F.filter(ids, lambda x: x.isNotNull())), F.filter(ids, lambda x: x.isNull()))
+
+    @F.pandas_udf(_SPANS)
+    def merged(a, b):
+        import pandas as pd
 
-        out = out.mapInArrow(scan, schema)
-    return out
+        plain = lambda spans: [(s["start"], s["end"]) for s in spans] if spans is not None else []
+        return pd.Series([[{"start": x, "end": y} for x, y in _merge(plain(p) + plain(q))] for p, q in zip(a, b, strict=True)])
+
+    return joined.select(*columns, "n_words", F.when(F.col("_kl_spans").isNull(), F.col("hit_spans")).otherwise(merged("hit_spans", "_kl_spans")).alias("hit_spans"), ordered.alias("item_ids"))
 
 
 def _without(text: str, spans: list) -> str:
@@ -211,9 +254,11 @@ def _without(text: str, spans: list) -> str:
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE) -> DataFrame:
     """``docs`` with its columns: hit spans are cut from the text, documents of which more than ``max_coverage`` of the words is hit go.
 
-    ``n_chars``, where there is one, is counted again for changed texts.
+    ``n_chars``, where there is one, is counted again for changed texts; no other column is changed. Null, empty and very
+    long texts, ties, repeated rows, empty tables and null items are as in ``find_contamination``; a text without words stays.
     """
-    found = find_contamination(docs, items, window)
+    rows, restored = masked(docs, ("doc_id", "text"))
+    found = find_contamination(rows, items, window)
     hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     kept = found.where(hit <= max_coverage * F.col("n_words"))
 
@@ -223,11 +268,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_c
 
         return pd.Series([_without(t, s) if t is not None and len(s) else t for t, s in zip(text, spans, strict=True)])
 
-    changed = F.size("hit_spans") > 0
     out = kept.withColumn("text", cut("text", "hit_spans"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+        at = rows.columns[docs.columns.index("n_chars")]
+        out = out.withColumn(at, F.when(F.size("hit_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col(at)))
+    return restored(out)
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,6 +283,6 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words",
         hit.alias("n_hit"),
         F.size("item_ids").cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.sort_array("item_ids"), ",").cast("binary"), 256).alias("items_sha256"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
     )
