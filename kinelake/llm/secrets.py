@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinelake.llm.shared import let, running_sums, steps, table
+from kinelake.llm.shared import let, masked, running_sums, steps, table
 
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = "([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -21,9 +21,8 @@ WINDOW = 20
 CANDIDATE = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}"
 #: character class (whole string): least entropy in bits of some window
 CLASSES = (("^[0-9]+$", 9.0), ("^[0-9a-fA-F]+$", 3.0), ("^[A-Za-z0-9]+$", 3.6), ("", 3.8))
-#: strings that are no secrets, after leading separators: words, identifiers without digits, UUIDs, dates and paths
+#: strings that are no secrets, after leading separators: words and names without digits, UUIDs, dates and paths
 ALLOWED = (
-    "^[^0-9]+$",
     "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     "^[0-9/_=+-]+$",
     "^/?([a-zA-Z]+[/_=-])+[a-zA-Z0-9]{0,12}$",
@@ -31,6 +30,8 @@ ALLOWED = (
     "^[=_+/-]+$",
 )
 LEADING = "^[=_+/-]+"
+#: without digits, names of things: at most one change from lower to upper case in so many characters
+CHARS_A_CHANGE = 5
 
 
 def entropy(text: Column) -> Column:
@@ -88,7 +89,8 @@ def _high_entropy(value: Column) -> Column:
         least = F.lit(CLASSES[-1][1])
         for pattern, bits in reversed(CLASSES[:-1]):
             least = F.when(rest.rlike(pattern), F.lit(bits)).otherwise(least)
-        allowed = F.lit(False)
+        changes = F.size(F.regexp_extract_all(rest, F.lit("[a-z][A-Z]"), F.lit(0)))
+        allowed = rest.rlike("^[^0-9]+$") & (F.length(rest) >= CHARS_A_CHANGE * changes)
         for pattern in ALLOWED:
             allowed = allowed | rest.rlike(pattern)
         return F.when(allowed, False).otherwise(entropy(rest) >= least)
@@ -100,7 +102,8 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     """All columns of ``docs`` and ``secrets``: array of ``kind, start, end`` (code points, end exclusive) by start, then kind.
 
     Patterns are never suppressed; candidate strings of high entropy are reported unless allow-listed or overlapping a
-    pattern's span. A null text is empty and has none; repeated rows are scanned alike; an empty table stays empty.
+    pattern's span. A null text is empty and has none; repeated rows are scanned alike; very long texts are scanned whole;
+    an empty table stays empty; spans that start at one place (ties) stand in the order of ``KINDS``.
     A column named ``secrets`` of the input's is replaced; columns beginning with ``_kl_`` are not returned.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -121,7 +124,11 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every secret in ``text`` replaced by a mark, and ``n_chars``, where there is one, counted again."""
+    """``docs`` with its columns: every secret in ``text`` replaced by a mark, and ``n_chars``, where there is one, counted again.
+
+    Spans that touch or overlap (ties) get one mark. A null text stays null, an empty one empty; very long texts are scanned
+    whole; repeated rows are treated alike; an empty table stays empty; no column of the input's but these two is changed.
+    """
 
     def joined(spans):
         """Spans that touch or overlap, as one; the last is kept apart while it may still grow."""
@@ -143,10 +150,12 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         return F.concat(F.array_join(kept, mark), F.lit(mark), tail)
 
     text = F.when(F.size("secrets") > 0, let(joined(F.col("secrets")), cut)).otherwise(F.col("text"))
-    out = scan_secrets(docs).withColumn("text", text)
+    rows, restored = masked(docs, ("text",))
+    out = scan_secrets(rows).withColumn("text", text)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("secrets") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+        at = rows.columns[docs.columns.index("n_chars")]
+        out = out.withColumn(at, F.when(F.size("secrets") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col(at)))
+    return restored(out)
 
 
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
