@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinelake.llm.shared import ascii_lower, table
+from kinelake.llm.shared import ascii_lower, let, steps, table
 
 DIMS, GRAMS, MAX_LABELLED = 8192, (3, 4, 5), 5000
 
@@ -78,17 +78,23 @@ def host_path(url: Column) -> tuple[Column, Column]:
 
 
 def block_probability(host: Column, path: Column, weights, bias: float) -> Column:
-    """Of one n-gram length after another the hashed features are looked up and summed; all JVM-side."""
+    """Of one n-gram length after another the hashed features are looked up and summed; all JVM-side.
+
+    The url is split into its characters once, so that a long one costs in proportion to its length.
+    """
     s, w = F.concat(F.lit("^"), host, F.lit("|"), path, F.lit("$")), F.array(*[F.lit(float(v)) for v in weights])
 
-    def gram_sum(n: int) -> Column:
-        starts = F.when(F.length(s) >= n, F.sequence(F.lit(1), F.length(s) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(starts, F.lit(0.0), lambda a, i: a + F.get(w, (F.crc32(F.substring(s, i, F.lit(n)).cast("binary")) % DIMS).cast("int")))
+    def gram_sum(chars: Column, n: int) -> Column:
+        gram = lambda i: F.concat(*[F.get(chars, i + k) for k in range(n)])
+        return F.aggregate(steps(F.size(chars) - (n - 1)), F.lit(0.0), lambda a, i: a + F.get(w, (F.crc32(gram(i).cast("binary")) % DIMS).cast("int")))
+
+    def scored(chars: Column) -> Column:
+        total = gram_sum(chars, GRAMS[0])
+        for n in GRAMS[1:]:
+            total = total + gram_sum(chars, n)
+        return 1 / (1 + F.exp(-(total / F.size(chars) + bias)))
 
-    total = gram_sum(GRAMS[0])
-    for n in GRAMS[1:]:
-        total = total + gram_sum(n)
-    return 1 / (1 + F.exp(-(total / F.length(s) + bias)))
+    return let(F.filter(F.split(s, ""), lambda c: c != ""), scored)
 
 
 def filter_urls(pages: DataFrame, rules=RULES, labelled=None, block_at: float = 0.5) -> DataFrame:
@@ -96,7 +102,9 @@ def filter_urls(pages: DataFrame, rules=RULES, labelled=None, block_at: float =
 
     The longest rule whose host is the url's or a parent of it, and whose path begins the url's, decides;
     without one, the model does. A null url or one without ``://`` has an empty host and path and is judged
-    by the model; repeated rows are judged alike; other columns of the input are not looked at.
+    by the model; the longest rule's ties can't occur, as a host has one parent of each length; repeated rows are judged
+    alike; a very long url is judged whole, in time proportional to its length; an empty table gives no rows; other
+    columns of the input are not looked at.
     """
     weights, bias = train(tuple(labelled if labelled is not None else labelled_urls()))
     host, path = host_path(F.col("url"))
