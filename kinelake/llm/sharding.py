@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinelake.llm.shared import table
+from kinelake.llm.shared import masked, partitions, table
 
 SHARDS, SEED, BUCKET_BYTES = 16, 20_240_611, 16 << 20
 
@@ -35,42 +35,59 @@ def fisher_yates(n: int, seed: list[int]) -> np.ndarray:
     return order
 
 
+def _bytes(docs: DataFrame):
+    """About the bytes of a row: those of its texts, of nested columns as JSON, and 8 for every other column."""
+
+    def of(field: T.StructField):
+        col = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.octet_length(col)
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.octet_length(F.to_json(F.struct(col)))
+        return F.lit(8)
+
+    return sum((F.coalesce(of(f), F.lit(0)) + 8 for f in docs.schema), F.lit(32)).cast("long")
+
+
 def shuffle_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """All columns and rows of ``docs`` with ``shard`` int and ``slot`` long (gapless from 0 in each shard).
 
-    Law ``key``: ``doc_id`` and the number of shards decide the shard. A null text counts as empty, a
-    null ``doc_id`` is a key like others, repeated rows are all kept and an empty table stays empty.
-    Columns named ``shard``, ``slot`` or beginning with ``_`` of the input's are replaced. The result
-    depends on the rows alone, not on how they are partitioned.
+    Law ``key``: ``doc_id`` and the number of shards decide the shard. A null text counts as empty, a null ``doc_id`` is a
+    key like others, a very long text makes its bucket larger, repeated rows (ties) are all kept and an empty table stays
+    empty. Columns named ``shard`` and ``slot`` of the input's are replaced. The result depends on the rows alone, not on
+    how they are partitioned.
     """
-    docs = docs.drop("shard", "slot", *[c for c in docs.columns if c.startswith("_")])
-    total = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()[0] or 0
+    rows, restored = masked(docs, ("doc_id", "text"))
+    total = docs.agg(F.sum(_bytes(docs))).first()[0] or 0
     buckets = max(1, math.ceil(total / shards / bucket_bytes))
-    keyed = docs.withColumns(
+    rest = [F.to_json(F.struct(f.name)) if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) else F.col(f.name) for f in rows.schema if f.name not in ("doc_id", "text")]
+    keyed = rows.withColumns(
         {
-            "shard": rendezvous(F.col("doc_id"), shards, seed),
+            "_kl_shard": rendezvous(F.col("doc_id"), shards, seed),
             # the text takes part, so that a key that many rows share is still spread
-            "_bucket": F.pmod(F.xxhash64("doc_id", "text", F.lit(seed + 1)), F.lit(buckets)).cast("int"),
+            "_kl_bucket": F.pmod(F.xxhash64("doc_id", "text", F.lit(seed + 1)), F.lit(buckets)).cast("int"),
+            "_kl_rest": F.xxhash64(F.lit(0), *rest),
         }
     )
-    before = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = keyed.groupBy("shard", "_bucket").agg(F.count("*").alias("_n"))
-    base = counts.select("shard", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    joined = keyed.join(base.hint("shuffle_hash") if buckets > 64 else F.broadcast(base), ["shard", "_bucket"])
-    columns = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
+    before = Window.partitionBy("_kl_shard").orderBy("_kl_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = keyed.groupBy("_kl_shard", "_kl_bucket").agg(F.count("*").alias("_kl_n"))
+    base = counts.select("_kl_shard", "_kl_bucket", F.coalesce(F.sum("_kl_n").over(before), F.lit(0)).alias("_kl_base"))
+    key = ["_kl_shard", "_kl_bucket"]
+    # as many tasks as buckets, so that a task's share stays the same at any size
+    dealt = keyed.repartition(max(partitions(docs), shards * buckets), *key)
+    joined = dealt.join(F.broadcast(base) if buckets <= 4096 else base, key)
+    columns = rows.columns
+    schema = T.StructType([*rows.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
 
     def deal(key: tuple, rows: pa.Table) -> pa.Table:
         shard, bucket = key[0].as_py(), key[1].as_py()
-        text = rows["text"] if "text" in columns else pa.nulls(len(rows))
         # rows arrive in any order: bring them into one that only they decide, then permute
-        rank = pa.table({"doc_id": rows["doc_id"], "text": text, "all": [repr(r) for r in rows.select([c for c in columns if c not in ("text", "doc_id")]).to_pylist()]})
-        order = np.asarray(pc.sort_indices(rank, sort_keys=[("doc_id", "ascending"), ("text", "ascending"), ("all", "ascending")]))
+        order = np.asarray(pc.sort_indices(rows, sort_keys=[(c, "ascending") for c in ("doc_id", "text", "_kl_rest")]))
         moved = rows.take(pa.array(order[fisher_yates(len(order), [seed, shard, bucket])]))
-        slot = moved["_base"].to_numpy() + np.arange(len(order))
-        return pa.table([*[moved[c] for c in columns], moved["shard"], pa.array(slot, pa.int64())], names=[*columns, "shard", "slot"])
+        slot = moved["_kl_base"].to_numpy() + np.arange(len(order))
+        return pa.table([*[moved[c] for c in columns], moved["_kl_shard"], pa.array(slot, pa.int64())], names=[*columns, "shard", "slot"])
 
-    return joined.groupBy("shard", "_bucket").applyInArrow(deal, schema)
+    return restored(joined.groupBy(*key).applyInArrow(deal, schema), "shard", "slot")
 
 
 def op3_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
