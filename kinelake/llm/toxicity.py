@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinelake.llm.shared import table
+from kinelake.llm.shared import stored, table
 
 MAX_TRAIN, MAX_LEXICON, SEED = 24_000, 512, 11
 
@@ -137,13 +137,13 @@ class Booster:
 
 
 def isotonic(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Knots of the rising step fit (pool adjacent violators), joined by straight lines."""
+    """Knots of the rising step fit (equal margins first become one, then adjacent violators are pooled), joined by straight lines."""
     if not len(y):
         return np.array([-8.0, 8.0]), np.array([0.0, 1.0])
-    order = np.argsort(margin, kind="stable")
+    places, of = np.unique(margin, return_inverse=True)
     blocks: list[list[float]] = []
-    for m, v in zip(margin[order], y[order], strict=True):
-        blocks.append([float(v), 1.0, float(m)])
+    for m, s, n in zip(places, np.bincount(of, y), np.bincount(of), strict=True):
+        blocks.append([float(s), float(n), float(m)])
         while len(blocks) > 1 and blocks[-2][0] / blocks[-2][1] >= blocks[-1][0] / blocks[-1][1]:
             s, w, at = blocks.pop()
             old = blocks[-1]
@@ -188,13 +188,16 @@ def _word_counts(rows: DataFrame, max_lexicon: int) -> list[bytes]:
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_lexicon: int = MAX_LEXICON, seed: int = SEED) -> ToxicityModel:
     """From at most ``max_train`` rows of ``labels`` (``doc_id, toxic``), those of smallest seeded hash.
 
-    Null labels are left out; of repeated ones the largest counts. Without toxic or without clean rows the score is the
-    same for all texts.
+    Null labels are left out; of repeated ones the largest counts; of unlike texts with one ``doc_id`` the least is taken.
+    Null and empty texts, repeated rows and very long texts are rows like others. Without toxic or without clean rows (an
+    empty table) the score is the same for all texts. No other columns are looked at. The labelled texts are written once,
+    in the shared folder.
     """
     known = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     sample = known.select("doc_id", "toxic", F.xxhash64("doc_id", F.lit(seed)).alias("h")).orderBy("h", "doc_id").limit(max_train)
     # at most max_train rows of 20 bytes: small whatever the input
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).select("text", "toxic", F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(100)).alias("part"))
+    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    rows = stored(found.select("text", "toxic", F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(100)).alias("part")), "labelled")
     lexicon = _word_counts(rows.where("part < 34"), max_lexicon)
     model = ToxicityModel(lexicon, Booster(), (np.zeros(1), np.zeros(1)))
 
@@ -213,7 +216,11 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_le
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``doc_id, score`` (0 to 1) of every row's whole text; null counts as empty, equal texts get equal scores."""
+    """``doc_id, score`` (0 to 1) of every row's whole text.
+
+    A null text counts as empty; equal texts get equal scores; repeated rows are scored each; very long texts are scored
+    whole; an empty table stays empty; columns other than ``doc_id`` and ``text`` are not looked at.
+    """
 
     def score(batches):
         for batch in batches:
