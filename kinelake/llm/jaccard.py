@@ -1,11 +1,12 @@
 """Exact Jaccard join of sets of word n-grams by prefixes under several global token orders.
 
-Tokens are ordered by how many documents have them (one, a few, many), then by a hash; each order has a hash of its own.
+Tokens are ordered by how many documents have them (one, and by powers of eight), then by a hash; each order has a hash of
+its own. Words and sets are told apart by 64-bit hashes of words and of shingles.
 Two sets of similarity ``percent`` or more share a token among the first ``n - ceil(percent n / 100) + 1`` of either under
 every such order. Tokens of one document only can't be shared, so a document needs enough others to have partners at all.
 
-Which tokens are shared, and by many, is held in two bitmaps of fixed size. A false bit moves a token in the order, for all
-documents alike, and costs work but no link. Candidates come from shared prefix tokens of the first order, are dropped
+Which tokens are shared, and by how many, is held in bitmaps sized by their numbers, at most 128 MB each. A false bit moves a
+token in the order, for all documents alike, and costs work but no link. Candidates come from shared prefix tokens of the first order, are dropped
 unless prefixes meet under all other orders, and only then are verified. Groups of many documents around one text are
 first held against their most typical member; what that leaves in different components is compared pair by pair.
 """
@@ -18,10 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinelake.llm.components import components
-from kinelake.llm.shared import bitmap, in_bitmap, partitions, stored, table
+from kinelake.llm.shared import bitmap, bits_for, in_bitmap, masked, partitions, stored, table
 from kinelake.llm.words import Words, mix, runs, shard_of, slices_by, texts_of
 
-GRAM, PERCENT, MANY, ORDERS, BITS, FLUSH_TOKENS = 5, 75, 8, 3, 1 << 26, 1_000_000
+GRAM, PERCENT, ORDERS, FLUSH_TOKENS, HOT_CLASSES = 5, 75, 3, 1_000_000, 10_000
+#: a token's grade in the order: how many of these numbers of documents it reaches
+GRADES = (2, 8, 64, 512, 4096)
 _SEEDS = [np.uint64(s) for s in (0, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 
 
@@ -53,20 +56,30 @@ def _batch(rows: list[tuple], kind: pa.Schema) -> pa.RecordBatch:
 
 
 def _signatures(docs: DataFrame, gram: int) -> DataFrame:
-    """``doc_id, n_shingles, s1, s2`` of every row."""
+    """``doc_id, n_shingles, s1, s2, t`` of every row ``doc_id, text, t``."""
 
     def sign(batches):
         for batch in batches:
-            yield _batch([(key, len(s), *_sign(s)) for key, s in _sets([batch], gram)], kind)
+            rows = [(key, len(s), *_sign(s)) for key, s in _sets([batch], gram)]
+            yield pa.RecordBatch.from_arrays([*_batch(rows, kind).columns, batch.column(2)], names=[*kind.names, "t"])
 
     kind = pa.schema([(c, pa.int64()) for c in ("doc_id", "n_shingles", "s1", "s2")])
-    return docs.mapInArrow(sign, "doc_id long, n_shingles long, s1 long, s2 long")
+    return docs.mapInArrow(sign, "doc_id long, n_shingles long, s1 long, s2 long, t long")
 
 
-def token_bitmaps(docs: DataFrame, firsts, gram: int = GRAM, many: int = MANY, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Bitmaps of the tokens of two documents or more, and of ``many`` or more, counted over the first of equal sets.
+def grade(tokens: np.ndarray, graded: list[np.ndarray]) -> np.ndarray:
+    """How many of the bitmaps' numbers of documents each token reaches (bitmaps without the first)."""
+    out = np.zeros(len(tokens), np.uint8)
+    for bits in graded[1:]:
+        out += in_bitmap(tokens, bits)
+    return out
 
-    Tokens are shuffled as ``width`` bytes, in blocks: as few as keep chance meetings of the expected number rare.
+
+def token_bitmaps(docs: DataFrame, firsts, gram: int = GRAM, grades: tuple[int, ...] = GRADES, bits: int | None = None) -> list[np.ndarray]:
+    """For each of ``grades`` the bitmap of the tokens that so many documents have, counted over the first of equal sets.
+
+    Tokens are shuffled as ``width`` bytes, in blocks: as few as keep chance meetings of the expected number rare. The
+    bitmaps are sized by the numbers of their tokens unless ``bits`` is given.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     width, shards = (5 if size < 1 << 36 else 6 if size < 1 << 43 else 8), 4 * partitions(docs)
@@ -102,45 +115,46 @@ def token_bitmaps(docs: DataFrame, firsts, gram: int = GRAM, many: int = MANY, b
         times = np.frombuffer(b"".join(found["times"].to_pylist()), np.uint8)
         h, at = np.unique(np.concatenate([once, often]), return_inverse=True)
         n = np.bincount(at, np.concatenate([np.ones(len(once)), times]), len(h))
-        return pa.table({"token": pa.array(h[n > 1].view(np.int64)), "many": pa.array(n[n > 1] >= many)})
+        return pa.table({"token": pa.array(h[n > 1].view(np.int64)), "n": pa.array(n[n > 1].astype(np.int64))})
 
-    found = docs.select("doc_id", "text").mapInArrow(emit, "shard int, once binary, often binary, times binary").groupBy("shard").applyInArrow(count, "token long, many boolean")
+    found = docs.select("doc_id", "text").mapInArrow(emit, "shard int, once binary, often binary, times binary").groupBy("shard").applyInArrow(count, "token long, n long")
     found = stored(found, "tokens")
-    return bitmap(found, "token", bits), bitmap(found.where("many"), "token", bits)
+    numbers = found.agg(*[F.count_if(F.col("n") >= g).alias(f"g{g}") for g in grades]).first()
+    return [bitmap(found.where(F.col("n") >= g), "token", bits or bits_for(numbers[f"g{g}"])) for g in grades if numbers[f"g{g}"] or g == grades[0]]
 
 
 def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def prefix(shared: np.ndarray, is_many: np.ndarray, n: int, order: int, percent: int) -> np.ndarray:
+def prefix(shared: np.ndarray, grades: np.ndarray, n: int, order: int, percent: int) -> np.ndarray:
     """Shared tokens among the first ones of a set of ``n`` under an order; tokens of one document come first of all."""
     places = n - least_overlap(n, percent) + 1 - (n - len(shared))
     if places <= 0:
         return shared[:0]
-    return shared[np.lexsort((mix(shared ^ _SEEDS[order]), is_many))[:places]]
+    return shared[np.lexsort((mix(shared ^ _SEEDS[order]), grades))[:places]]
 
 
-def _candidates(docs: DataFrame, firsts, shared, many, gram: int, percent: int) -> DataFrame:
-    """``doc_id, n, shared`` (bytes), ``m`` (tokens that many have) of the documents with shared tokens enough."""
+def _candidates(docs: DataFrame, firsts, graded, gram: int, percent: int) -> DataFrame:
+    """``doc_id, s1, s2, n, shared`` (bytes), ``m`` (tokens that many have) of the documents with shared tokens enough."""
 
     def pick(batches):
         rows: list[tuple] = []
         for key, s in _sets(batches, gram, firsts.value):
-            mine = s[in_bitmap(s, shared.value)]
+            mine = s[in_bitmap(s, graded.value[0])]
             if len(s) and len(mine) >= least_overlap(len(s), percent):
-                rows.append((key, len(s), mine.tobytes(), int(in_bitmap(mine, many.value).sum())))
+                rows.append((key, *_sign(s), len(s), mine.tobytes(), int((grade(mine, graded.value) > 0).sum())))
             if len(rows) >= 1000:
                 yield _batch(rows, kind)
                 rows = []
         yield _batch(rows, kind)
 
-    kind = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("shared", pa.binary()), ("m", pa.int64())])
-    return docs.select("doc_id", "text").mapInArrow(pick, "doc_id long, n long, shared binary, m long")
+    kind = pa.schema([*[(c, pa.int64()) for c in ("doc_id", "s1", "s2", "n")], ("shared", pa.binary()), ("m", pa.int64())])
+    return docs.select("doc_id", "text").mapInArrow(pick, "doc_id long, s1 long, s2 long, n long, shared binary, m long")
 
 
-def _postings(cands: DataFrame, many, percent: int) -> DataFrame:
-    """``token, doc_id, n, s`` (shared tokens), ``m`` (those that many have), ``early`` of the prefixes under the first order.
+def _postings(cands: DataFrame, graded, percent: int) -> DataFrame:
+    """``token, class, n, s`` (shared tokens), ``m`` (those that many have), ``early`` of the prefixes under the first order.
 
     Sets of which the other is no smaller must overlap more, so they meet in a shorter prefix of the smaller: ``early``.
     """
@@ -154,15 +168,15 @@ def _postings(cands: DataFrame, many, percent: int) -> DataFrame:
                 out: list[list] = [[], [], [], [], [], []]
                 for key, n, raw, m in zip(*[batch.slice(lo, 512).column(i).to_pylist() for i in range(4)], strict=True):
                     mine = np.frombuffer(raw, np.uint64)
-                    tokens = prefix(mine, in_bitmap(mine, many.value), n, 0, percent)
+                    tokens = prefix(mine, grade(mine, graded.value), n, 0, percent)
                     for column, v in zip(out, (tokens.view(np.int64), *[np.full(len(tokens), x) for x in (key, n, len(mine), m)], np.arange(len(tokens)) < len(mine) - early(n) + 1), strict=True):
                         column.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["token", "doc_id", "n", "s", "m", "early"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["token", "class", "n", "s", "m", "early"])
 
-    return cands.select("doc_id", "n", "shared", "m").mapInArrow(post, "token long, doc_id long, n long, s long, m long, early boolean")
+    return cands.select("class", "n", "shared", "m").mapInArrow(post, "token long, class long, n long, s long, m long, early boolean")
 
 
-def verified(pairs: DataFrame, cands: DataFrame, many, orders: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, cands: DataFrame, graded, orders: int, percent: int) -> DataFrame:
     """Of pairs ``a, b``, those whose prefixes meet under the other orders too, and which then prove similar."""
 
     def verify(batches):
@@ -171,37 +185,49 @@ def verified(pairs: DataFrame, cands: DataFrame, many, orders: int, percent: int
             for lo in range(0, batch.num_rows, 256):
                 for a, b, na, nb, sa, sb in zip(*[batch.slice(lo, 256).column(i).to_pylist() for i in range(6)], strict=True):
                     x, y = np.frombuffer(sa, np.uint64), np.frombuffer(sb, np.uint64)
-                    mx, my = in_bitmap(x, many.value), in_bitmap(y, many.value)
+                    mx, my = grade(x, graded.value), grade(y, graded.value)
                     if all(len(np.intersect1d(prefix(x, mx, na, o, percent), prefix(y, my, nb, o, percent), assume_unique=True)) for o in range(1, orders)):
                         common = len(np.intersect1d(x, y, assume_unique=True))
                         if 100 * common >= percent * (na + nb - common):
                             good.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([g[i] for g in good], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    left = cands.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"))
-    right = cands.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb"))
+    left = cands.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"))
+    right = cands.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(verify, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, orders: int = ORDERS, bits: int = BITS) -> DataFrame:
+_CLASS = ["s1", "s2", "n_shingles"]
+
+
+def jaccard_components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, orders: int = ORDERS, bits: int | None = None) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row: the smallest ``doc_id`` reachable by links.
 
     Texts are lower-cased (A-Z) and cut into words at white space (9-13, 32); a text of fewer words than ``gram`` has one
-    shingle, an empty or null text none and no links. Equal sets are one class, and links are looked for between classes
-    (so no link between different texts is lost). Rows that repeat a ``doc_id`` each get their class's component; a null
-    ``doc_id`` joins the component of its text; an empty table stays empty; other columns are not looked at.
+    shingle, an empty or null text none and no links; very long texts are taken whole. Equal sets (ties) are one class, and
+    links are looked for between classes, so no link between different texts is lost. Rows that repeat a ``doc_id`` with
+    other texts are classes of their own, and each gets its class's component; a null ``doc_id`` joins the component of its
+    text; an empty table stays empty; other columns are not looked at. ``bits`` fixes the size of the bitmaps.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return _components(docs, gram, percent, orders, bits).select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+
+
+def _components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, orders: int = ORDERS, bits: int | None = None) -> DataFrame:
+    """``doc_id, n_shingles, s1, s2, t`` (hash of the text) and ``component`` of every row."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("t"))
     known = rows.where("doc_id is not null")
     signed = stored(_signatures(rows, gram), "signatures")
-    classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("first"))
+    classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy(*_CLASS).agg(F.min("doc_id").alias("first"), F.count("*").alias("rows"))
+    classes = stored(classes.withColumn("class", F.xxhash64(*_CLASS)), "classes")
     context = docs.sparkSession.sparkContext
-    # three bitmaps of bits / 8 bytes at any size; a false bit in the first lets a copy through
-    firsts = context.broadcast(bitmap(classes, "first", bits))
-    shared, many = (context.broadcast(b) for b in token_bitmaps(known, firsts, gram, MANY, bits))
-    found = _candidates(known, firsts, shared, many, gram, percent)
-    cands = stored(found.join(classes.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidates")
-    posts = stored(_postings(cands, many, percent), "postings")
+    number = classes.agg(F.count("*"), F.sum("rows")).first()
+    # bitmaps of at most 128 MB; a false bit in the first lets a copy through
+    firsts = context.broadcast(bitmap(classes, "first", bits or bits_for(number[0])))
+    graded = context.broadcast(token_bitmaps(known, firsts, gram, GRADES, bits))
+    found = _candidates(known, firsts, graded, gram, percent).withColumnRenamed("n", "n_shingles")
+    cands = found.join(classes.select(*_CLASS, F.col("first").alias("doc_id"), "class"), [*_CLASS, "doc_id"]).dropDuplicates(["class"])
+    cands = stored(cands.select("class", F.col("n_shingles").alias("n"), "shared", "m"), "candidates")
+    posts = stored(_postings(cands, graded, percent), "postings")
 
     def may_link(x: str, y: str):
         """Of the tokens that many have, and of those that a few have, the overlap is at most the fewer of the two."""
@@ -210,14 +236,14 @@ def jaccard_components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT
         return 100 * overlap >= percent * (n[0] + n[1] - overlap)
 
     def side(rows: DataFrame, x: str) -> DataFrame:
-        return rows.select("token", F.col("doc_id").alias(x), *[F.col(c).alias(c + x) for c in "nsm"], *[F.col("component").alias("c" + x) for c in rows.columns if c == "component"])
+        return rows.select("token", F.col("class").alias(x), *[F.col(c).alias(c + x) for c in "nsm"], *[F.col("component").alias("c" + x) for c in rows.columns if c == "component"])
 
     # the most typical document of each token's group: few tokens of its own, then the smallest id
-    centre = posts.groupBy("token").agg(F.min(F.struct((1 - F.col("m") / F.col("n")).alias("rare"), "doc_id", "n", "s", "m")).alias("c"), F.count("*").alias("k"))
+    centre = posts.groupBy("token").agg(F.min(F.struct((1 - F.col("m") / F.col("n")).alias("rare"), "class", "n", "s", "m")).alias("c"), F.count("*").alias("k"))
     star = side(posts, "a").join(side(centre.where("k > 1").select("token", "c.*"), "b"), "token").where((F.col("a") != F.col("b")) & may_link("a", "b"))
     pairs = stored(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    links = stored(verified(pairs, cands, many, orders, percent), "links")
-    placed = posts.join(components(links).withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    links = stored(verified(pairs, cands, graded, orders, percent), "links")
+    placed = posts.join(components(links).withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     placed = stored(placed, "placed")
     open_tokens = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
     rest = placed.join(open_tokens, "token")
@@ -225,19 +251,38 @@ def jaccard_components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT
     across = side(rest.where("early"), "a").join(side(rest, "b"), "token")
     across = across.where((F.struct("na", "sa", "a") < F.struct("nb", "sb", "b")) & (F.col("ca") != F.col("cb")) & may_link("a", "b"))
     more = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    edges = links.unionByName(verified(stored(more, "across"), cands, many, orders, percent))
-    by_first = components(edges).withColumnRenamed("node", "first")
-    named = classes.join(by_first, "first", "left").select("s1", "s2", "n_shingles", F.coalesce("component", "first").alias("component"))
-    out = signed.join(named, ["s1", "s2", "n_shingles"], "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    edges = links.unionByName(verified(stored(more, "across"), cands, graded, orders, percent))
+    # a component's least doc_id is that of one of its classes
+    linked = classes.join(components(edges).withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    least = linked.groupBy("component").agg(F.min("first").alias("least"))
+    named = linked.join(least, "component").select(*_CLASS, "rows", "least")
+    return _named(signed, named, number[1] or 0).select("doc_id", *_CLASS, "t", F.coalesce("least", "doc_id").alias("component"))
+
+
+def _named(signed: DataFrame, named: DataFrame, total: int) -> DataFrame:
+    """Each row with its class's component. Classes of many copies are dealt over several keys, so that no task gets all.
+
+    Classes of more than ``total / HOT_CLASSES`` rows (there are at most ``HOT_CLASSES``) are known to all tasks.
+    """
+    share = max(64, total // HOT_CLASSES)
+    parts = F.when(F.col("rows") > share, F.ceil(F.col("rows") / share)).otherwise(1).cast("int")
+    hot = F.broadcast(named.where(F.col("rows") > share).select(*_CLASS, parts.alias("parts")))
+    salted = signed.join(hot, _CLASS, "left").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.coalesce("parts", F.lit(1))).cast("int"))
+    dealt = named.withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("rows")
+    return salted.join(dealt, [*_CLASS, "salt"], "left")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with the document of smallest ``doc_id`` of each component, once; rows without a ``doc_id`` stay."""
-    firsts = jaccard_components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kl_id")).distinct()
-    known = docs.where("doc_id is not null")
-    kept = known.join(firsts, known["doc_id"].cast("long") == F.col("_kl_id"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    """``docs`` with the document of smallest ``doc_id`` of each component, once; rows without a ``doc_id`` stay.
+
+    Of rows that have this ``doc_id`` in common, one of each class stays, as unlike texts needn't be copies of each other.
+    Null, empty and very long texts, ties and empty tables are as in ``jaccard_components``; all columns are returned as they are.
+    """
+    rows, restored = masked(docs, ("doc_id", "text"))
+    first = _components(docs).where("doc_id = component").groupBy(F.col("doc_id").alias("_kl_id"), *_CLASS).agg(F.min("t").alias("_kl_t"))
+    known = rows.where("doc_id is not null").withColumns({"_kl_id": F.col("doc_id").cast("long"), "_kl_t": F.xxhash64("text")})
+    kept = known.join(first.select("_kl_id", "_kl_t").distinct(), ["_kl_id", "_kl_t"], "left_semi").dropDuplicates(["_kl_id", "_kl_t"])
+    return restored(kept.drop("_kl_id", "_kl_t").unionByName(rows.where("doc_id is null")))
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
