@@ -163,9 +163,15 @@ def certified_choice(tests: list[tuple[int, int]], n: int, n_bad: int, tolerated
     return best[1] if best and best[0] >= 0 else None
 
 
+def _by_stratum(stratum, values: dict, kind: str):
+    """The value of a row's stratum (null for the pooled ones), by a map of literals; null for others."""
+    known = [x for s, v in values.items() if s is not None for x in (F.lit(s), v)]
+    out = F.try_element_at(F.create_map(*known), stratum) if known else F.lit(None).cast(kind)
+    return F.when(stratum.isNull(), values[None]).otherwise(out) if None in values else out
+
+
 def _certify(marked: DataFrame, tolerated: float, level: float, rules) -> dict[str | None, list[float]]:
     """By stratum, the cutoffs of all rules. The driver gets two rows of counts for each of at most ``MAX_STRATA + 1`` strata, twice."""
-    spark = marked.sparkSession
     tallies = [F.sum((F.col(r) >= c).cast("long")).alias(f"{r}_{j}") for r, cuts in rules.items() for j, c in enumerate(cuts)]
     counts = {(r["own"], r["good"]): r.asDict() for r in marked.where("orders").groupBy("own", "good").agg(F.count("*").alias("n"), *tallies).collect()}
     families = {s: nested_family(counts[s, True], counts[s, False], rules) for s, g in counts if g and (s, False) in counts}
@@ -173,11 +179,12 @@ def _certify(marked: DataFrame, tolerated: float, level: float, rules) -> dict[s
     if not families:
         return {}
     width = max(map(len, families.values()))
-    known = spark.createDataFrame([(s, f) for s, f in families.items()], "of string, family array<array<double>>")
+    numbers = lambda xs: F.array(*map(F.lit, xs))
+    family = _by_stratum(F.col("own"), {s: F.array(*map(numbers, f)) for s, f in families.items()}, "array<array<double>>")
     values = F.array(*[F.col(r) for r in rules])
-    hit = lambda j: F.coalesce(F.exists(F.zip_with(values, F.get("family", F.lit(j)), lambda x, c: x >= c), lambda x: x), F.lit(False))
-    tested = marked.where("not orders").join(F.broadcast(known), F.col("own").eqNullSafe(F.col("of")))
-    found = {(r["of"], r["good"]): r for r in tested.groupBy("of", "good").agg(F.count("*").alias("n"), *[F.sum(hit(j).cast("long")).alias(f"k{j}") for j in range(width)]).collect()}
+    hit = lambda j: F.coalesce(F.exists(F.zip_with(values, F.get(F.col("family"), F.lit(j)), lambda x, c: x >= c), lambda x: x), F.lit(False))
+    tested = marked.where("not orders").withColumn("family", family).where("family is not null")
+    found = {(r["own"], r["good"]): r for r in tested.groupBy("own", "good").agg(F.count("*").alias("n"), *[F.sum(hit(j).cast("long")).alias(f"k{j}") for j in range(width)]).collect()}
     out = {}
     for s, f in families.items():
         if (s, True) in found:
@@ -210,12 +217,12 @@ def judge(docs: DataFrame, labels: DataFrame, tolerated: float = TOLERATED, leve
     measured = stored(measures(docs, carry), "quality")
     marked, pooled = _labelled(measured, labels, RULES)
     found = _certify(marked, tolerated, level, RULES)
-    schema = "stratum string, _kl_cuts array<double>"
-    cuts = docs.sparkSession.createDataFrame([(s, c) for s, c in found.items() if s is not None], schema)  # at most MAX_STRATA rows
-    rows = measured.join(F.broadcast(cuts), "stratum", "left")
-    if None in found:
-        rest = pooled.withColumn("_kl_rest", F.array(*map(F.lit, found[None])))
-        rows = rows.join(rest, "stratum", "left").withColumn("_kl_cuts", F.coalesce("_kl_cuts", "_kl_rest")).drop("_kl_rest")
+    cuts = {s: F.array(*map(F.lit, c)) for s, c in found.items()}
+    rows = measured
+    if None in cuts:
+        rows = rows.join(pooled.withColumn("_kl_pooled", F.lit(True)), "stratum", "left")
+    own = _by_stratum(F.col("stratum"), {s: c for s, c in cuts.items() if s is not None}, "array<double>")
+    rows = rows.withColumn("_kl_cuts", F.when(F.col("_kl_pooled"), cuts[None]).otherwise(own) if None in cuts else own)
     hits = F.filter(F.array(*[F.when(F.col(r) >= F.get("_kl_cuts", F.lit(k)), r) for k, r in enumerate(RULES)]), lambda x: x.isNotNull())
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     out = rows.select(*measured.columns, failed.alias("base_failed"), hits.alias("rejected_by"))
