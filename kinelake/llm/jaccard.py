@@ -22,7 +22,7 @@ from kinelake.llm.components import components
 from kinelake.llm.shared import bitmap, bits_for, in_bitmap, masked, partitions, stored, table
 from kinelake.llm.words import Words, mix, runs, shard_of, slices_by, texts_of
 
-GRAM, PERCENT, ORDERS, FLUSH_TOKENS, HOT_CLASSES = 5, 75, 3, 1_000_000, 10_000
+GRAM, PERCENT, ORDERS, FLUSH_TOKENS, HOT_KEYS = 5, 75, 3, 1_000_000, 10_000
 #: a token's grade in the order: how many of these numbers of documents it reaches
 GRADES = (2, 8, 64, 512, 4096)
 _SEEDS = [np.uint64(s) for s in (0, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
@@ -254,22 +254,22 @@ def _components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, order
     edges = links.unionByName(verified(stored(more, "across"), cands, graded, orders, percent))
     # a component's least doc_id is that of one of its classes
     linked = classes.join(components(edges).withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    least = linked.groupBy("component").agg(F.min("first").alias("least"))
-    named = linked.join(least, "component").select(*_CLASS, "rows", "least")
-    return _named(signed, named, number[1] or 0).select("doc_id", *_CLASS, "t", F.coalesce("least", "doc_id").alias("component"))
+    least = linked.groupBy("component").agg(F.min("first").alias("least"), F.count("*").alias("of"))
+    named = _dealt_join(linked, least, ["component"], "of", number[0]).select(*_CLASS, "rows", "least")
+    return _dealt_join(signed, named, _CLASS, "rows", number[1] or 0).select("doc_id", *_CLASS, "t", F.coalesce("least", "doc_id").alias("component"))
 
 
-def _named(signed: DataFrame, named: DataFrame, total: int) -> DataFrame:
-    """Each row with its class's component. Classes of many copies are dealt over several keys, so that no task gets all.
+def _dealt_join(rows: DataFrame, facts: DataFrame, key: list[str], number: str, total: int) -> DataFrame:
+    """``rows`` left join ``facts`` (one row a key, with the ``number`` of its rows), where a key may have most of ``total`` rows.
 
-    Classes of more than ``total / HOT_CLASSES`` rows (there are at most ``HOT_CLASSES``) are known to all tasks.
+    Keys of more than ``total / HOT_KEYS`` rows (there are fewer than ``HOT_KEYS``) are known to all tasks, and dealt over several salts.
     """
-    share = max(64, total // HOT_CLASSES)
-    parts = F.when(F.col("rows") > share, F.ceil(F.col("rows") / share)).otherwise(1).cast("int")
-    hot = F.broadcast(named.where(F.col("rows") > share).select(*_CLASS, parts.alias("parts")))
-    salted = signed.join(hot, _CLASS, "left").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.coalesce("parts", F.lit(1))).cast("int"))
-    dealt = named.withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("rows")
-    return salted.join(dealt, [*_CLASS, "salt"], "left")
+    share = max(64, total // HOT_KEYS)
+    parts = F.when(F.col(number) > share, F.ceil(F.col(number) / share)).otherwise(1).cast("int")
+    hot = F.broadcast(facts.where(F.col(number) > share).select(*key, parts.alias("_parts")))
+    salted = rows.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.coalesce("_parts", F.lit(1))).cast("int"))
+    dealt = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop(number)
+    return salted.join(dealt, [*key, "_salt"], "left").drop("_parts", "_salt")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
