@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinelake.llm.components import components
-from kinelake.llm.shared import bitmap, bits_for, in_bitmap, masked, partitions, stored, table
+from kinelake.llm.shared import bitmap, bitmaps, bits_for, in_bitmap, masked, partitions, stored, table
 from kinelake.llm.words import Words, mix, runs, shard_of, slices_by, texts_of
 
 GRAM, PERCENT, ORDERS, FLUSH_TOKENS, HOT_KEYS = 5, 75, 3, 1_000_000, 10_000
@@ -120,7 +120,8 @@ def token_bitmaps(docs: DataFrame, firsts, gram: int = GRAM, grades: tuple[int,
     found = docs.select("doc_id", "text").mapInArrow(emit, "shard int, once binary, often binary, times binary").groupBy("shard").applyInArrow(count, "token long, n long")
     found = stored(found, "tokens")
     numbers = found.agg(*[F.count_if(F.col("n") >= g).alias(f"g{g}") for g in grades]).first()
-    return [bitmap(found.where(F.col("n") >= g), "token", bits or bits_for(numbers[f"g{g}"])) for g in grades if numbers[f"g{g}"] or g == grades[0]]
+    level = sum(((F.col("n") >= g).cast("int") for g in grades[1:]), F.lit(1))
+    return bitmaps(found, "token", level, [bits or bits_for(numbers[f"g{g}"]) for g in grades])
 
 
 def least_overlap(n: int, percent: int) -> int:

@@ -81,17 +81,27 @@ def bitmap(df: DataFrame, col: str, bits: int = BITMAP_BITS) -> np.ndarray:
 
     Nulls count as absent; an empty frame gives a bitmap without set bits.
     """
-    at = F.pmod(F.col(col), F.lit(bits)) + 1
+    return bitmaps(df, col, F.when(F.col(col).isNotNull(), 1).otherwise(0), [bits])[0]
+
+
+def bitmaps(df: DataFrame, col: str, level, bits: list[int]) -> list[np.ndarray]:
+    """In one job, for each of ``bits`` a bitmap; a row of ``level`` n is in the first n of them.
+
+    The maps come to the driver in eight parts, one after another, not in as many jobs as there are partitions.
+    """
+    at = F.pmod(F.col(col), F.get(F.array(*[F.lit(b).cast("long") for b in bits]), F.col("map"))) + 1
     rows = (
-        df.where(F.col(col).isNotNull())
-        .groupBy(F.bitmap_bucket_number(at).alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("map"))
+        df.where(level > 0)
+        .withColumn("map", F.explode(F.sequence(F.lit(0), level - 1)))
+        .groupBy("map", F.bitmap_bucket_number(at).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("set"))
+        .coalesce(8)
         .toLocalIterator()
     )
-    out = np.zeros(bits // 8, np.uint8)
+    out = [np.zeros(b // 8, np.uint8) for b in bits]
     for r in rows:
-        i = (r["bucket"] - 1) * 4096
-        out[i : i + 4096] |= np.frombuffer(bytes(r["map"]), np.uint8)[: len(out) - i]
+        i, to = (r["bucket"] - 1) * 4096, out[r["map"]]
+        to[i : i + 4096] |= np.frombuffer(bytes(r["set"]), np.uint8)[: len(to) - i]
     return out
 
 
