@@ -70,14 +70,20 @@ def frame_shape(rows: DataFrame) -> DataFrame:
 
 
 def features_121(frames: DataFrame, n: int = SAMPLE_FRAMES) -> DataFrame:
-    """``video, start_frame, k, features`` (121 doubles) of frames 1 .. n-1 of each sample; positions aren't clipped."""
-    rows = framed(frames, n)
-    ends = rows.where(F.col("before") == n).select("video", (F.col("frame_idx") - (n - 1)).alias("start_frame"), "left", "top", "width", "height")
-    # each frame serves n samples: unfold by arithmetic and join on the key the window has already dealt by
-    each = rows.select("video", "frame_idx", "ts", "t1", "p", "p1", "seen", "lo_x", "hi_x", "lo_y", "hi_y", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k")).withColumn("start_frame", F.col("frame_idx") - F.col("k"))
-    shaped = frame_shape(each.join(ends, ["video", "start_frame"]))
-    lists = Window.partitionBy("video", "start_frame").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    shaped = shaped.withColumns({c + "s": F.slice(F.collect_list(c).over(lists), 2, n - 1) for c in ("w", "h", "ratio", "area")}).where("k > 0")
+    """``video, start_frame, k, features`` (121 doubles) of frames 1 .. n-1 of each sample; positions aren't clipped.
+
+    All windows are by video, so rows are dealt and sorted once; a sample's frames come as a list from the window ahead.
+    """
+    w = by_video()
+    each = F.struct("ts", "t1", "p", "p1", "seen", "lo_x", "hi_x", "lo_y", "hi_y")
+    ends = [F.lead(c, n - 1).over(w).alias(c) for c in ("left", "top", "width", "height")]
+    samples = framed(frames, n).select("video", F.col("frame_idx").alias("start_frame"), F.collect_list(each).over(w.rowsBetween(0, n - 1)).alias("fs"), *ends).where(F.size("fs") == n)
+    later = F.slice("fs", 2, n - 1)
+    side = lambda lo, hi, ext: F.transform(later, lambda f: F.when(f["seen"], (f[hi] - f[lo]) / G.divisor(F.col(ext))).otherwise(0.0))
+    samples = samples.withColumns({"ws": side("lo_x", "hi_x", "width"), "hs": side("lo_y", "hi_y", "height")})
+    samples = samples.withColumns({"ratios": F.zip_with("ws", "hs", lambda a, b: F.when(b > 0, a / b).otherwise(0.0)), "areas": F.zip_with("ws", "hs", lambda a, b: a * b)})
+    shaped = samples.select("video", "start_frame", "left", "top", "width", "height", "ws", "hs", "ratios", "areas", F.posexplode(later).alias("k0", "f"))
+    shaped = shaped.select("*", (F.col("k0") + 1).alias("k"), "f.ts", "f.t1", "f.p", "f.p1").drop("f", "k0")
     p = F.col("p")
     hip = lambda a, lo, ext: (G.hip_centre(p, a) - F.col(lo)) / G.divisor(F.col(ext))
     shaped = shaped.withColumn("norm", _norm("p", False))

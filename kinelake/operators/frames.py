@@ -79,7 +79,7 @@ def sliding_samples(frames: DataFrame, carry: list[str], n: int = SAMPLE_FRAMES)
     return timed.where("end_time <= last").select("video", "start_frame", "start_time", "end_time", *carry)
 
 
-def strided_samples(frames: DataFrame, intervals: DataFrame, steps_ms=INTERVAL_CHOICES_MS, fps: float = FPS, n: int = SAMPLE_FRAMES) -> DataFrame:
+def strided_samples(frames: DataFrame, steps_ms=INTERVAL_CHOICES_MS, fps: float = FPS, n: int = SAMPLE_FRAMES) -> DataFrame:
     """Per step width, every frame from which n frames at that width fit into the video."""
     last = frames.groupBy("video").agg(F.max("frame_idx").alias("last"))
     steps = F.explode(F.array(*[F.struct(F.lit(ms).alias("interval_ms"), F.lit(int(ms / 1000 * fps)).alias("step")) for ms in steps_ms])).alias("s")
@@ -100,13 +100,16 @@ def timeline_split(intervals: DataFrame, totals: DataFrame, fps: float = FPS) ->
     return inner.where("not gap or last >= first").select("video", "first", "last").unionByName(tail)
 
 
-def interval_label(samples: DataFrame, intervals: DataFrame) -> DataFrame:
+def interval_label(samples: DataFrame, intervals: DataFrame, bucket_ms: float = 60_000.0) -> DataFrame:
     """``label`` and ``relationship`` of each sample: the first interval inside it, else the last that meets it.
 
-    An equi-join on the video with the time range as residual; samples without intervals are kept.
+    Both sides are laid into buckets of time, so that the join is by video and bucket and a long video is many keys; a pair
+    that meets in several buckets counts the same as once. Samples without intervals are kept.
     """
-    i = intervals.select("video", "ord", "start_ms", "end_ms")
-    near = samples.join(i, "video").where((F.col("start_ms") <= F.col("end_time") * 1000) & (F.col("end_ms") >= F.col("start_time") * 1000))
+    buckets = lambda a, b: F.explode(F.sequence(F.floor(a / bucket_ms), F.greatest(F.floor(a / bucket_ms), F.floor(b / bucket_ms))))
+    i = intervals.select("video", "ord", "start_ms", "end_ms", buckets(F.col("start_ms"), F.col("end_ms")).alias("_bucket"))
+    cut = samples.select("video", "start_frame", "start_time", "end_time", buckets(F.col("start_time") * 1000, F.col("end_time") * 1000).alias("_bucket"))
+    near = cut.join(i, ["video", "_bucket"]).where((F.col("start_ms") <= F.col("end_time") * 1000) & (F.col("end_ms") >= F.col("start_time") * 1000))
     inside = (F.col("start_ms") >= F.col("start_time") * 1000) & (F.col("end_ms") <= F.col("end_time") * 1000)
     pair = F.concat(rounded_text(F.col("start_ms")), F.lit("-"), rounded_text(F.col("end_ms")))
     found = near.groupBy("video", "start_frame").agg(F.min_by(F.when(inside, pair), F.when(inside, F.col("ord"))).alias("hit"), F.max_by(pair, "ord").alias("met"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinelake.operators import ranks
+
 
 def unpivot(rows: DataFrame, columns: list[str]) -> DataFrame:
     """``name, value``, so that any number of columns is profiled in one pass and one shuffle."""
@@ -12,8 +14,10 @@ def unpivot(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def describe(rows: DataFrame, columns: list[str]) -> DataFrame:
-    q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = unpivot(rows, columns).groupBy("name").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.stddev_pop("value").alias("std_pop"), F.min("value").alias("low"), q.alias("q"), F.max("value").alias("high"))
+    """Counts, moments and exact quartiles of columns; no task holds a column's values."""
+    values = unpivot(rows, columns)
+    q = ranks.quantiles(values, "name", "value", [0.25, 0.5, 0.75])
+    out = values.groupBy("name").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.stddev_pop("value").alias("std_pop"), F.min("value").alias("low"), F.max("value").alias("high")).join(F.broadcast(q), "name", "left")
     return out.select("name", "n", "mean", "std", "std_pop", "low", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "high")
 
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinelake.operators import ranks
+
 
 def worker_split(rows: DataFrame, order: str, workers: int) -> DataFrame:
-    """Contiguous parts of ``ceil(n / workers)`` rows; the last workers may get none."""
+    """Contiguous parts of ``ceil(n / workers)`` rows by a numeric column; the last workers may get none."""
     n = rows.agg(F.count("*").alias("_n"))
-    rank = F.row_number().over(Window.orderBy(order)) - 1
-    return rows.withColumn("_r", rank).crossJoin(F.broadcast(n)).withColumn("worker", F.floor(F.col("_r") / F.ceil(F.col("_n") / workers))).drop("_r", "_n")
+    placed = ranks.numbered(rows, [order], ranks.cut_points(rows, order, []), [], "_r")
+    return placed.crossJoin(F.broadcast(n)).withColumn("worker", F.floor(F.col("_r") / F.ceil(F.col("_n") / workers))).drop("_r", "_n")
 
 
 def page(rows: DataFrame, order: str, offset: int, most: int) -> DataFrame:

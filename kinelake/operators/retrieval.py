@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -11,7 +13,7 @@ from kinelake.functions.text import chunk_starts, tokens
 
 K1, B, RRF_K, TOP = 1.2, 0.75, 60, 50
 #: rows and queries of a block of vectors
-BLOCK, QUERY_BLOCK = 2048, 512
+BLOCK, QUERY_BLOCK, QUERY_BYTES = 2048, 512, 64 << 20
 
 
 def chunked(docs: DataFrame, size: int = 256, overlap: int = 20) -> DataFrame:
@@ -26,8 +28,12 @@ def abstracts(pages: DataFrame, pages_used: int = 4) -> DataFrame:
     return few.select("doc_id", F.array_join(F.transform("p", lambda x: F.concat(F.lit("\n"), x["content"])), "").alias("abstract"))
 
 
-def token_counts(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.explode(tokens(F.col("text"))).alias("token")).groupBy("doc_id", "token").agg(F.count("*").alias("tf"))
+def token_stats(docs: DataFrame) -> DataFrame:
+    """``token, n, df``: how often each token occurs, and in how many rows. One shuffle, of sums made before it."""
+    ts = docs.select(tokens(F.col("text")).alias("ts"))
+    said = lambda array, n, df: F.transform(array, lambda t: F.struct(t.alias("token"), F.lit(n).alias("n"), F.lit(df).alias("df")))
+    both = ts.select(F.explode(F.concat(said(F.col("ts"), 1, 0), said(F.array_distinct("ts"), 0, 1))).alias("x"))
+    return both.groupBy("x.token").agg(F.sum("x.n").alias("n"), F.sum("x.df").alias("df"))
 
 
 def bm25(docs: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
@@ -46,8 +52,9 @@ def bm25(docs: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
 
 
 def ranked(scored: DataFrame, top: int) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")) - 1
-    return scored.withColumn("rank", rank).where(F.col("rank") < top)
+    """The best ``top`` of each query, from 0. The bound stands on the row number itself, so that tasks drop the rest before the shuffle."""
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
+    return scored.withColumn("rank", place).where(F.col("rank") <= top).withColumn("rank", F.col("rank") - 1)
 
 
 def _matrix(column) -> np.ndarray:
@@ -57,12 +64,20 @@ def _matrix(column) -> np.ndarray:
 def nearest(vectors: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
     """Exact cosine of unit vectors of one length, all queries against all rows; null vectors are left out.
 
-    ``queries``: ``query_id, embedding``; they are read when this is called and broadcast (256 bytes each at 64 entries).
-    Rows meet them in blocks, and a task hands on only the ``top`` of every query.
+    ``queries``: ``query_id, embedding``; they are read when this is called and broadcast, in parts of at most about
+    ``QUERY_BYTES``, each of which meets all rows in a pass of its own. Rows meet queries in blocks, and a task hands on only
+    the ``top`` of every query.
     """
+    known = queries.where("embedding is not null").select(F.col("query_id").cast("long"), "embedding")
+    size = known.agg(F.sum(F.size("embedding").cast("long"))).first()[0] or 0
+    parts = max(1, -(-8 * size // QUERY_BYTES))
+    found = [_nearest_part(vectors, known.where(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == k), top) for k in range(parts)]
+    return ranked(reduce(DataFrame.unionByName, found), top)
+
+
+def _nearest_part(vectors: DataFrame, queries: DataFrame, top: int) -> DataFrame:
     block, some = BLOCK, QUERY_BLOCK
-    asked = queries.where("embedding is not null").select(F.col("query_id").cast("long"), "embedding").toArrow().combine_chunks()
-    held = vectors.sparkSession.sparkContext.broadcast(asked)
+    held = vectors.sparkSession.sparkContext.broadcast(queries.toArrow().combine_chunks())
 
     def met(batches):
         asked = held.value
@@ -88,7 +103,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame
 
     spread = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = vectors.where("embedding is not null").select(F.col("doc_id").cast("long"), "embedding").repartition(spread)
-    return ranked(rows.mapInArrow(met, "query_id long, doc_id long, score double"), top)
+    return rows.mapInArrow(met, "query_id long, doc_id long, score double")
 
 
 def fuse(lists: list[DataFrame], k: int = RRF_K, top: int = 10) -> DataFrame:
@@ -98,8 +113,8 @@ def fuse(lists: list[DataFrame], k: int = RRF_K, top: int = 10) -> DataFrame:
     for p in parts[1:]:
         both = both.unionByName(p)
     summed = both.groupBy("query_id", "doc_id").agg(F.round(F.sum("part"), 9).alias("score"), F.min(F.struct("source", "rank")).alias("first"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "first", "doc_id")) - 1
-    return summed.withColumn("rank", rank).where(F.col("rank") < top).select("query_id", "doc_id", "score", "rank")
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "first", "doc_id"))
+    return summed.withColumn("rank", place).where(F.col("rank") <= top).select("query_id", "doc_id", "score", (F.col("rank") - 1).alias("rank"))
 
 
 def reranked(hits: DataFrame, queries: DataFrame, docs: DataFrame) -> DataFrame:

@@ -100,8 +100,7 @@ _TOK = "tk as (select doc_id, unnest(list_filter(regexp_split_to_array(lower(tex
 
 @query(f"with {_TOK} select token, count(*) as n, count(distinct doc_id) as df from tk group by 1")
 def token_stats(spark, sf_dir):
-    tf = retrieval.token_counts(read(spark, sf_dir, "documents"))
-    return tf.groupBy("token").agg(F.sum("tf").alias("n"), F.count("*").alias("df"))
+    return retrieval.token_stats(read(spark, sf_dir, "documents"))
 
 
 def _asked(spark, sf_dir):
@@ -109,7 +108,7 @@ def _asked(spark, sf_dir):
     return read(spark, sf_dir, "benchmark").where("item_id % 20 = 0").select(F.col("item_id").alias("query_id"), "text")
 
 
-_BM25 = f"""{_TOK}, qt as (select distinct item_id as query_id, unnest(list_filter(regexp_split_to_array(lower(substr(text, 1, 80)), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')) as token from benchmark where item_id < 5),
+_BM25 = f"""{_TOK}, qt as (select distinct item_id as query_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')) as token from benchmark where item_id % 20 = 0),
  ln as (select d.doc_id, count(token) as len from documents d left join tk using (doc_id) group by 1), st as (select count(*) as n, avg(len) as a from ln),
  tf as (select doc_id, token, count(*) as tf from tk where token in (select token from qt) group by 1, 2), df as (select token, count(*) as df from tf group by 1),
  sc as (select query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / a))), 6) as score from qt join tf using (token) join df using (token) join ln using (doc_id), st group by 1, 2),
@@ -121,7 +120,7 @@ def bm25_topk(spark, sf_dir):
     return retrieval.bm25(read(spark, sf_dir, "documents"), _asked(spark, sf_dir)).select("query_id", "doc_id", "score", F.col("rank").cast("long").alias("rank"))
 
 
-_KNN = """vs as (select q.vec_id as query_id, e.vec_id as doc_id, round(list_sum(list_transform(range(1, 65), lambda i: e.embedding[i]::double * q.embedding[i]::double)), 6) as score from embeddings e, (select * from embeddings where vec_id < 5) q),
+_KNN = """vs as (select q.vec_id as query_id, e.vec_id as doc_id, round(list_sum(list_transform(range(1, 65), lambda i: e.embedding[i]::double * q.embedding[i]::double)), 6) as score from embeddings e, (select * from embeddings where vec_id % 20 = 0) q),
  vec as (select * from (select *, row_number() over (partition by query_id order by score desc, doc_id) - 1 as rank from vs) where rank < 50)"""
 
 
@@ -185,7 +184,7 @@ def doc_get(spark, sf_dir):
     return catalog.get(_documents(spark, sf_dir), "document_id", spark.range(190, 210).select(F.col("id").cast("int").alias("document_id")))
 
 
-@query(f"with {_KB} select document_id from dc where document_id < 50 union all select document_id from dc where document_id between 50 and 150 and knowledge_id in (select knowledge_id from kb)")
+@query(f"with {_KB} select document_id from dc where document_id % 2 = 0 union all select document_id from dc where document_id % 2 <> 0 and knowledge_id in (select knowledge_id from kb)")
 def doc_insert_fk(spark, sf_dir):
     """Documents of even number are there; all others are new."""
     d = _documents(spark, sf_dir)

@@ -39,7 +39,7 @@ def sliding_samples(spark, sf_dir):
  case when hit is not null then 'fall_in_sample:' || round_even(a.start_ms, 0)::bigint || '-' || round_even(a.end_ms, 0)::bigint when met is not null then 'overlap:' || round_even(b.start_ms, 0)::bigint || '-' || round_even(b.end_ms, 0)::bigint else '' end as relationship
  from s left join g using (video, start_frame) left join iv a on a.video = s.video and a.ord = hit left join iv b on b.video = s.video and b.ord = met""")
 def interval_label(spark, sf_dir):
-    return O.interval_label(_windows(spark, sf_dir), intervals(spark, sf_dir)).select("video", "start_frame", "label", "relationship")
+    return O.interval_label(_windows(spark, sf_dir), intervals(spark, sf_dir), 86_400_000.0).select("video", "start_frame", "label", "relationship")
 
 
 @query(f"with {FRAMES} select video, frame_idx from fr where has_person")
@@ -97,7 +97,7 @@ def abs_diff_stats(spark, sf_dir):
 @query(f"with {FRAMES} select fr.video, frame_idx as start_frame, ms as interval_ms, frame_idx + 10 * step as end_frame from fr join (select video, max(frame_idx) as last from fr group by 1) using (video), (values (250, 5), (300, 6), (350, 7), (400, 8), (450, 9), (500, 10)) s(ms, step) where frame_idx + 10 * step <= last")
 def strided_samples(spark, sf_dir):
     f = frames(spark, sf_dir)
-    return O.strided_samples(f, None)
+    return O.strided_samples(f)
 
 
 def _spread(spark, sf_dir):
@@ -147,7 +147,7 @@ def annotation_state(spark, sf_dir):
     return resume.annotation_state(videos, a)
 
 
-@query(f"""with {FRAMES} select video, frame_idx, round(case when m > 1000 then t / 1000 else t end, 6) as ts from (select video, frame_idx, t, max(t) over (partition by video) as m from (select video, frame_idx, frame_idx * case when video % 2 = 0 then 0.5 else 250.0 end::double as t from fr where frame_idx < 20))""")
+@query(f"""with {FRAMES} select video, frame_idx, round(case when m > 1000 then t / 1000 else t end, 6) as ts from (select video, frame_idx, t, max(t) over (partition by video) as m from (select video, frame_idx, frame_idx * case when video % 2 = 0 then 0.5 else 250.0 end::double as t from fr))""")
 def timestamp_autoscale(spark, sf_dir):
     f = frames(spark, sf_dir).withColumn("t", F.col("frame_idx") * F.when(F.col("video") % 2 == 0, 0.5).otherwise(250.0))
     lists = f.groupBy("video").agg(F.transform(F.sort_array(F.collect_list(F.struct("frame_idx", "t"))), lambda x: x["t"]).alias("ts"))
@@ -155,7 +155,7 @@ def timestamp_autoscale(spark, sf_dir):
     return timestamps(lists.select("video", json.alias("json"))).select("video", "frame_idx", F.round("ts", 6).alias("ts"))
 
 
-_PLAN = "pl as (select video, round_idx, ord, sum(case when ord = 0 then 0 else 250 + 50 * " + _CHOICE.format("video, round_idx, ord", 6) + " end) over (partition by video, round_idx order by ord) as ts_ms from (select distinct user_id as video from events), range(1, 7) r(round_idx), range(0, 40) o(ord))"
+_PLAN = "pl as (select video, round_idx, ord, sum(case when ord = 0 then 0 else 250 + 50 * " + _CHOICE.format("video, round_idx, ord", 6) + " end) over (partition by video, round_idx order by ord) as ts_ms from (select *, unnest(range(0, ceil(duration_ms / 250.0)::bigint)) as ord from (select user_id as video, count(*) * 50 as duration_ms from events group by 1), range(1, 7) r(round_idx)) qualify ts_ms < duration_ms)"
 
 
 @query(f"with {_PLAN} select video, round_idx, ord, ts_ms::bigint as ts_ms from pl")
@@ -228,7 +228,7 @@ def ready_files(spark, sf_dir):
     return resume.pending(resume.cooled(resume.stable(aged, _before(f)), cooling, F.col("clock")), f.where("event_id % 5 = 0"), "path").select("path")
 
 
-@query(f"with {FRAMES} select a.video, a.frame_idx, a.event_type, round(b.ts, 6) as ts from fr a join (select * from fr where frame_idx < 30) b using (video, frame_idx)")
+@query(f"with {FRAMES} select a.video, a.frame_idx, a.event_type, round(b.ts, 6) as ts from fr a join (select * from fr qualify 2 * frame_idx < count(*) over (partition by video)) b using (video, frame_idx)")
 def positional_join(spark, sf_dir):
     """The list of times has the first half of each video's frames."""
     from pyspark.sql import Window

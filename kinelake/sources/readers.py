@@ -46,9 +46,13 @@ def list_images(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def annotation_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """``video, line``: the folder of a file names the video."""
+    """``video, line``: the folder of a file names the video, plainly or as ``video=name`` (the writer's form, %xx undone)."""
     rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(folder)
-    return rows.select(F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]+$", 1).alias("video"), F.col("value").alias("line"))
+    named = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
+    # a path is an URI, and the writer escapes once more
+    plain = lambda c: F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    video = F.when(named.startswith("video="), plain(F.regexp_replace(plain(named), "^video=", ""))).otherwise(plain(named))
+    return rows.select(video.alias("video"), F.col("value").alias("line"))
 
 
 def parsed_annotations(lines: DataFrame) -> DataFrame:

@@ -15,8 +15,15 @@ def features_csv(rows: DataFrame, path: str, by: list[str], width: int = 139) ->
     flat.select(*by, *[f"feat_{i}" for i in range(width)], *keys[len(by) :]).write.mode("overwrite").partitionBy(*by).option("header", True).csv(path)
 
 
-def tensor(rows: DataFrame, path: str) -> None:
-    rows.select("sample_idx", "X", "y").write.mode("overwrite").parquet(path)
+def tensor(rows: DataFrame, path: str, by: list[str] | None = None) -> None:
+    """``sample_idx, X, y``, with a folder for each key of ``by``."""
+    by = by or []
+    rows.select(*by, "sample_idx", "X", "y").write.mode("overwrite").partitionBy(*by).parquet(path)
+
+
+def texts(rows: DataFrame, path: str) -> None:
+    """One text for each row, a folder for each video."""
+    rows.select("video", F.col("text").alias("value")).write.mode("overwrite").partitionBy("video").text(path)
 
 
 def details_csv(rows: DataFrame, path: str) -> None:
