@@ -46,10 +46,12 @@ def verification_stats(spark, sf_dir):
     return stats.select("video", *[F.round(c, 3).alias(c) for c in stats.columns[1:]])
 
 
-@query(f"with {FRAMES}, s as (select video, frame_idx, ts - min(ts) over (partition by video) as t, lead(ts) over (partition by video order by frame_idx) - ts as dt from fr) select video, frame_idx, round(t, 6) as t, round(t + dt / 2, 6) as middle, round(t + dt, 6) as until from s where dt is not null")
+@query(f"with {FRAMES}, s as (select video, frame_idx, ts - min(ts) over (partition by video) as t, lead(ts) over (partition by video order by frame_idx) - ts as dt from fr) select video, frame_idx, round(t * 1e6)::bigint as t_us, round((t + dt / 2) * 2e6)::bigint as middle_half_us, round((t + dt) * 1e6)::bigint as until_us from s where dt is not null")
 def relative_timeline(spark, sf_dir):
+    """In whole microseconds, the middle in halves of them."""
     rows = runs.relative_timeline(frames(spark, sf_dir))
-    return rows.select("video", "frame_idx", *[F.round(c, 6).alias(c) for c in ("t", "middle", "until")])
+    whole = lambda c, k: F.round(F.col(c) * k).cast("long")
+    return rows.select("video", "frame_idx", whole("t", 1e6).alias("t_us"), whole("middle", 2e6).alias("middle_half_us"), whole("until", 1e6).alias("until_us"))
 
 
 @query("with s as (select event_type as mode, count(value) as runs, sum(value) as total, avg(value) as mean from events group by 1) select mode, runs, round(total, 3) as total, round(mean, 4) as mean, round((select total from s where mode = 'click') / total, 6) as speedup from s")
