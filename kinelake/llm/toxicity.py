@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from kinelake.llm.shared import stored, table
 
 MAX_TRAIN, MAX_LEXICON, SEED = 24_000, 512, 11
+#: bytes of the word beginnings that the lexicon may have beside whole words, so that inflected forms count as one
+STEMS = (5, 6, 7, 8)
 
-#: Insults that hold without any training.
-SEED_WORDS = "idiot idiots stupid moron morons loser losers scum trash worthless pathetic disgusting clown clowns dumb imbecile fool garbage filth filthy vermin freak jerk creep coward lame ugly hate hateful shut".split()
 SECOND_PERSON = "you your yours yourself ur u tu te toi vous votre vos ton ta du dich dir dein deine ihr euch usted ustedes vosotros ti tus".split()
-FEATURES = ("seed_density", "lexicon_density", "lexicon_hits", "lexicon_distinct", "lexicon_burst", "second_person", "proximity", "capitals", "exclaims", "punctuation", "obfuscated", "masked", "stretched", "length")
+FEATURES = ("lexicon_density", "lexicon_hits", "lexicon_distinct", "lexicon_burst", "second_person", "proximity", "capitals", "exclaims", "punctuation", "obfuscated", "masked", "stretched", "length")
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 48 or 58 <= c <= 96 or 123 <= c <= 127 else c for c in range(256))
 _UPPER, _PUNCT = bytes(range(65, 91)), bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -29,17 +29,17 @@ _ODD = re.compile(rb"[A-Za-z]+[0-9@$!|+*]+[A-Za-z][A-Za-z0-9@$!|+*]*|[@$][A-Za-z
 _STRETCHED = re.compile(rb"([A-Za-z])\1\1")
 
 
-def features(text: bytes, lexicon: frozenset, seeds: frozenset, persons: frozenset) -> list[float]:
+def features(text: bytes, lexicon: frozenset, persons: frozenset) -> list[float]:
     """``FEATURES`` of one whole text."""
     words = text.translate(_FOLD).split()
     n, size = max(1, len(words)), max(1, len(text))
-    hits = [i for i, w in enumerate(words) if w in lexicon]
-    near = burst = seeded = 0
+    marked = {w for w in set(words) if w in lexicon or any(w[:k] in lexicon for k in STEMS if len(w) > k)}
+    hits = [i for i, w in enumerate(words) if w in marked] if marked else []
+    near = burst = 0
     distinct = set()
     people = [i for i, w in enumerate(words) if w in persons]
     if hits:
         distinct = {words[i] for i in hits}
-        seeded = sum(words[i] in seeds for i in hits)
         first = 0
         for k, i in enumerate(hits):
             while hits[first] < i - 50:
@@ -53,7 +53,6 @@ def features(text: bytes, lexicon: frozenset, seeds: frozenset, persons: frozens
     odd = _ODD.findall(text) if len(text.translate(None, b"0123456789@$!|+*")) < len(text) else []
     plain = [w.lower().translate(_LEET) for w in odd]
     return [
-        seeded / n,
         len(hits) / n,
         float(len(hits)),
         float(len(distinct)),
@@ -158,31 +157,35 @@ class ToxicityModel:
         self.lexicon, self.booster, self.knots = frozenset(lexicon), booster, knots
 
     def featurise(self, texts) -> np.ndarray:
-        seeds, persons = frozenset(w.encode() for w in SEED_WORDS), frozenset(w.encode() for w in SECOND_PERSON)
-        return np.array([features(t or b"", self.lexicon | seeds, seeds, persons) for t in texts]).reshape(-1, len(FEATURES))
+        persons = frozenset(w.encode() for w in SECOND_PERSON)
+        return np.array([features(t or b"", self.lexicon, persons) for t in texts]).reshape(-1, len(FEATURES))
 
     def score(self, texts) -> np.ndarray:
         return np.clip(np.interp(self.booster.margin(self.featurise(texts)), *self.knots), 0, 1)
 
 
 def _word_counts(rows: DataFrame, max_lexicon: int) -> list[bytes]:
-    """Words that at least eight toxic texts have and that are 20 times as frequent there as in clean ones."""
+    """Words, and word beginnings of ``STEMS`` bytes, that a 64th of the toxic texts have (three at least) and that are 20 times as frequent there as in clean ones."""
 
     def count(batches):
         for batch in batches:
             seen: dict[bytes, list[int]] = {}
             for t, y in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for w in set((t or b"").translate(_FOLD).split()):
-                    if len(w) <= 64:
-                        seen.setdefault(w, [0, 0])[y] += 1
+                words = {w for w in set((t or b"").translate(_FOLD).split()) if len(w) <= 64}
+                for w in words | {w[:k] for k in STEMS for w in words if len(w) > k}:
+                    seen.setdefault(w, [0, 0])[y] += 1
             words = list(seen)
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([seen[w][0] for w in words], pa.int64()), pa.array([seen[w][1] for w in words], pa.int64())], names=["word", "clean", "toxic"])
 
     totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = lambda c, k: (F.col(c) + 0.5) / F.lit(float(totals.get(k, 0) + 1))
     counted = rows.select("text", "toxic").mapInArrow(count, "word binary, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    marked = counted.where((F.col("toxic") >= 8) & (share("toxic", 1) > 20 * share("clean", 0)))
-    return [bytes(r["word"]) for r in marked.orderBy(F.desc("toxic"), "word").limit(max_lexicon).collect()]
+    marked = counted.where((F.col("toxic") >= max(3, totals.get(1, 0) / 64)) & (share("toxic", 1) > 20 * share("clean", 0)))
+    held = {bytes(r["word"]): r["toxic"] for r in marked.orderBy(F.desc("toxic"), "word").limit(8 * max_lexicon).collect()}
+    # of a word and its beginnings those that more texts have stay, of equal ones the longest
+    stems = {w: [w[:k] for k in STEMS if len(w) > k and w[:k] in held] for w in held}
+    as_good = {s for w, of in stems.items() for s in of if held[s] == held[w]}
+    return [w for w in held if w not in as_good and all(held[s] == held[w] for s in stems[w])][:max_lexicon]
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_lexicon: int = MAX_LEXICON, seed: int = SEED) -> ToxicityModel:

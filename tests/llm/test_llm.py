@@ -112,6 +112,25 @@ def test_toxicity_learns(spark):
     assert toxicity.score_toxicity(empty(spark), flat).count() == 0 and len({r.score for r in toxicity.score_toxicity(docs, flat).collect()}) == 1
 
 
+def test_toxicity_learns_inflected_words_without_any_list(spark):
+    r = random.Random(3)
+    plain = [f"w{k:03d}" for k in range(200)]
+    ends = [a + b for a in "abcdefgh" for b in "klmnop"]
+    rows = []
+    for i in range(600):
+        w = r.choices(plain, k=40)
+        if i % 5 == 0:
+            w[r.randrange(40)] = "grulmit" + r.choice(ends)
+        rows.append((i, " ".join(w), int(i % 5 == 0)))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], SCHEMA)
+    model = toxicity.train(docs, spark.createDataFrame([(i, y) for i, _, y in rows if i < 400], "doc_id long, toxic int"))
+    assert b"grulmit" in model.lexicon and all(w.startswith(b"grulmit") for w in model.lexicon)
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, model).collect()}
+    assert all((got[i] >= 0.5) == bool(y) for i, _, y in rows if i >= 400)
+    x = toxicity.features(b"Grulmitak you!", model.lexicon, frozenset([b"you"]))
+    assert len(x) == len(toxicity.FEATURES) and x[:3] == [0.5, 1.0, 1.0]
+
+
 def test_isotonic_rises():
     x = np.linspace(-3, 3, 200)
     y = (np.random.default_rng(0).random(200) < 1 / (1 + np.exp(-x))).astype(float)
