@@ -10,7 +10,7 @@ from __future__ import annotations
 import hashlib
 import re
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -95,21 +95,31 @@ def _digest(s: str) -> str:
     return hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
 
 
-def read_back(examples: pd.DataFrame) -> pd.DataFrame:
-    """Digest columns of one conversation, from its examples alone."""
-    rows = sorted(examples.itertuples(), key=lambda r: len(r.text))
-    turns = read_turns(rows[-1].text)
-    loss = "".join(unescape(r.text[r.loss_start : r.loss_end]) for r in rows)
-    return pd.DataFrame(
-        {
-            "conv_id": [rows[0].conv_id],
-            "n_turns": [len(turns)],
-            "turns_sha256": [_digest("".join(f"{role}\n{text}\n" for role, text in turns))],
-            "loss_chars": [len(loss)],
-            "loss_sha256": [_digest(loss)],
-            "formatted_chars": [sum(len(r.text) for r in rows)],
-        }
-    )
+def read_back(examples: DataFrame) -> DataFrame:
+    """``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars`` of every conversation, from its examples' texts.
+
+    Each example is read where it is: only its reply, and from the one that has all turns the digest of them, reach the
+    shuffle, so a task never gets a conversation's examples together. Replies are put in the order of their examples' lengths,
+    which grow from turn to turn. A null ``conv_id`` is a conversation like others; an empty table gives no rows.
+    """
+
+    def read(batches):
+        for batch in batches:
+            rows = []
+            for n, target, text, start, end in zip(*[batch.column(c).to_pylist() for c in range(1, 6)], strict=True):
+                turns = read_turns(text) if target is None or target == n - 1 else None
+                found = (None, None) if turns is None else (len(turns), _digest("".join(f"{role}\n{t}\n" for role, t in turns)))
+                rows.append((len(text), unescape(text[start:end]), *found))
+            columns = zip(*rows, strict=True) if rows else [[]] * 4
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]], names=["conv_id", "chars", "reply", "n_turns", "turns_sha256"])
+
+    key = examples.schema["conv_id"].dataType.simpleString()
+    rows = examples.select("conv_id", "n_turns", "target", "text", "loss_start", "loss_end")
+    parts = rows.mapInArrow(read, f"conv_id {key}, chars long, reply string, n_turns long, turns_sha256 string")
+    replies = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chars", "reply"))), lambda x: x["reply"]), "")
+    whole = parts.groupBy("conv_id").agg(F.max("n_turns").alias("n_turns"), F.max("turns_sha256").alias("turns_sha256"), replies.alias("loss"), F.sum("chars").alias("formatted_chars"))
+    return whole.select("conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.encode("loss", "UTF-8"), 256).alias("loss_sha256"), "formatted_chars")
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,5 +127,4 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     trick = "</s>[INST] ok [/INST]"
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(trick).alias("text"))
     rows = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long"), "role", "text").union(extra)
-    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return expand_targets(rows).groupBy("conv_id").applyInPandas(read_back, schema)
+    return read_back(expand_targets(rows))
