@@ -6,8 +6,8 @@ Two sets of similarity ``percent`` or more share a token among the first ``n - c
 every such order. Tokens of one document only can't be shared, so a document needs enough others to have partners at all.
 
 Which tokens are shared, and by how many, is held in bitmaps sized by their numbers, at most 128 MB each. A false bit moves a
-token in the order, for all documents alike, and costs work but no link. Candidates come from shared prefix tokens of the first order, are dropped
-unless prefixes meet under all other orders, and only then are verified. Groups of many documents around one text are
+token in the order, for all documents alike, and costs work but no link. Candidates come from shared prefix tokens of the first order and are dropped
+unless prefixes meet under all other orders, for which only prefixes are fetched; the sets of those left are then compared. Groups of many documents around one text are
 first held against their most typical member; what that leaves in different components is compared pair by pair.
 """
 
@@ -177,25 +177,60 @@ def _postings(cands: DataFrame, graded, percent: int) -> DataFrame:
     return cands.select("class", "n", "shared", "m").mapInArrow(post, "token long, class long, n long, s long, m long, early boolean")
 
 
-def verified(pairs: DataFrame, cands: DataFrame, graded, orders: int, percent: int) -> DataFrame:
-    """Of pairs ``a, b``, those whose prefixes meet under the other orders too, and which then prove similar."""
+def _filters(cands: DataFrame, graded, orders: int, percent: int) -> DataFrame:
+    """``class, prefixes``: of every order but the first, the prefix's tokens, each by its last 32 bits, sorted.
 
-    def verify(batches):
+    Tokens that meet in these bits by chance keep a pair for verification; a pair whose prefixes meet is never lost.
+    """
+
+    def cut(batches):
+        for batch in batches:
+            found = []
+            for n, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                mine = np.frombuffer(raw, np.uint64)
+                grades = grade(mine, graded.value)
+                found.append([np.unique(prefix(mine, grades, n, o, percent).astype(np.uint32)).tobytes() for o in range(1, orders)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.binary()))], names=["class", "prefixes"])
+
+    return cands.select("class", "n", "shared").mapInArrow(cut, "class long, prefixes array<binary>")
+
+
+def _sided(pairs: DataFrame, facts: DataFrame, columns: list[str]) -> DataFrame:
+    """Pairs ``a, b`` with the columns of both their classes, as ``<column>_a`` and ``<column>_b``."""
+    sides = [facts.select(F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in columns]) for x in "ab"]
+    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", *[f"{c}_{x}" for c in columns for x in "ab"])
+
+
+def _chosen(rows: DataFrame, good) -> DataFrame:
+    """``a, b`` of the rows for whose further columns ``good`` is true."""
+
+    def choose(batches):
         for batch in batches:
-            good: list[tuple[int, int]] = []
             for lo in range(0, batch.num_rows, 256):
-                for a, b, na, nb, sa, sb in zip(*[batch.slice(lo, 256).column(i).to_pylist() for i in range(6)], strict=True):
-                    x, y = np.frombuffer(sa, np.uint64), np.frombuffer(sb, np.uint64)
-                    mx, my = grade(x, graded.value), grade(y, graded.value)
-                    if all(len(np.intersect1d(prefix(x, mx, na, o, percent), prefix(y, my, nb, o, percent), assume_unique=True)) for o in range(1, orders)):
-                        common = len(np.intersect1d(x, y, assume_unique=True))
-                        if 100 * common >= percent * (na + nb - common):
-                            good.append((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array([g[i] for g in good], pa.int64()) for i in (0, 1)], names=["a", "b"])
+                some = batch.slice(lo, 256)
+                kept = [good(*facts) for facts in zip(*[some.column(i).to_pylist() for i in range(2, some.num_columns)], strict=True)]
+                yield some.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return rows.mapInArrow(choose, "a long, b long")
+
+
+def _meet(x: bytes, y: bytes, kind: type) -> int:
+    return len(np.intersect1d(np.frombuffer(x, kind), np.frombuffer(y, kind), assume_unique=True))
+
+
+def filtered(pairs: DataFrame, filters: DataFrame) -> DataFrame:
+    """Of pairs ``a, b``, those whose prefixes meet under all the other orders. Only prefixes are fetched, no sets."""
+    return _chosen(_sided(pairs, filters, ["prefixes"]), lambda x, y: all(_meet(p, q, np.uint32) for p, q in zip(x, y, strict=True)))
+
+
+def verified(pairs: DataFrame, cands: DataFrame, percent: int) -> DataFrame:
+    """Of pairs ``a, b``, those that are similar by their whole sets."""
+
+    def similar(na: int, nb: int, x: bytes, y: bytes) -> bool:
+        common = _meet(x, y, np.uint64)
+        return 100 * common >= percent * (na + nb - common)
 
-    left = cands.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"))
-    right = cands.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(verify, "a long, b long")
+    return _chosen(_sided(pairs, cands, ["n", "shared"]), similar)
 
 
 _CLASS = ["s1", "s2", "n_shingles"]
@@ -229,6 +264,7 @@ def _components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, order
     cands = found.join(classes.select(*_CLASS, F.col("first").alias("doc_id"), "class"), [*_CLASS, "doc_id"]).dropDuplicates(["class"])
     cands = stored(cands.select("class", F.col("n_shingles").alias("n"), "shared", "m"), "candidates")
     posts = stored(_postings(cands, graded, percent), "postings")
+    filters = stored(_filters(cands, graded, orders, percent), "filters")
 
     def may_link(x: str, y: str):
         """Of the tokens that many have, and of those that a few have, the overlap is at most the fewer of the two."""
@@ -243,7 +279,7 @@ def _components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, order
     centre = posts.groupBy("token").agg(F.min(F.struct((1 - F.col("m") / F.col("n")).alias("rare"), "class", "n", "s", "m")).alias("c"), F.count("*").alias("k"))
     star = side(posts, "a").join(side(centre.where("k > 1").select("token", "c.*"), "b"), "token").where((F.col("a") != F.col("b")) & may_link("a", "b"))
     pairs = stored(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    links = stored(verified(pairs, cands, graded, orders, percent), "links")
+    links = stored(verified(stored(filtered(pairs, filters), "filtered"), cands, percent), "links")
     placed = posts.join(components(links).withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     placed = stored(placed, "placed")
     open_tokens = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
@@ -252,7 +288,7 @@ def _components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, order
     across = side(rest.where("early"), "a").join(side(rest, "b"), "token")
     across = across.where((F.struct("na", "sa", "a") < F.struct("nb", "sb", "b")) & (F.col("ca") != F.col("cb")) & may_link("a", "b"))
     more = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    edges = links.unionByName(verified(stored(more, "across"), cands, graded, orders, percent))
+    edges = links.unionByName(verified(stored(filtered(more, filters), "across"), cands, percent))
     # a component's least doc_id is that of one of its classes
     linked = classes.join(components(edges).withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = linked.groupBy("component").agg(F.min("first").alias("least"), F.count("*").alias("of"))
