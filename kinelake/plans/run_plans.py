@@ -15,15 +15,15 @@ _SAMPLES = f"""samples as (select * from (select video, frame_idx as start_frame
  met as (select s.video, s.start_frame, max((start_ms >= start_time * 1000 and end_ms <= end_time * 1000)::int) as label from samples s join marks m on m.video = s.video and start_ms <= end_time * 1000 and end_ms >= start_time * 1000 group by all)"""
 
 
-@query(f"""with f as ({ORACLES['features_139']}), v as (select video, start_frame, round(sum(value), 3) as total, count(*) as width from f group by all), {POSES}, {_SAMPLES}
+@query(f"""with f as ({ORACLES['features_139']}), v as (select video, start_frame, sum(round(value * 1e6)::bigint)::bigint as total, count(*) as width from f group by all), {POSES}, {_SAMPLES}
  select s.video, s.start_frame, round(start_time, 6) as start_time, round(end_time, 6) as end_time, coalesce(label, 0)::int as label, total, width from samples s left join met using (video, start_frame) join v using (video, start_frame)""")
 def round_features(spark, sf_dir):
-    """All samples of all videos from positions, times and marks to labelled vectors, here as their sums."""
+    """All samples of all videos from positions, times and marks to labelled vectors, here as their sums in millionths (whole numbers: their order can't change them)."""
     p = poses(spark, sf_dir)
     marks = p.where("frame_idx % 7 = 3").select("video", F.col("frame_idx").alias("ord"), (F.col("ts") * 1000).alias("start_ms"), ((F.col("ts") + 0.3) * 1000).alias("end_ms"))
     rows = runs.process_rounds(p.select("video", "frame_idx", "p", "ts"), marks)
-    total = F.aggregate(F.transform("features", lambda v: F.round(v, 6)), F.lit(0.0), lambda a, v: a + v)
-    return rows.select("video", "start_frame", F.round("start_time", 6).alias("start_time"), F.round("end_time", 6).alias("end_time"), "label", F.round(total, 3).alias("total"), F.size("features").cast("long").alias("width"))
+    total = F.aggregate(F.transform("features", lambda v: F.round(F.round(v, 6) * 1e6).cast("long")), F.lit(0).cast("long"), lambda a, v: a + v)
+    return rows.select("video", "start_frame", F.round("start_time", 6).alias("start_time"), F.round("end_time", 6).alias("end_time"), "label", total.alias("total"), F.size("features").cast("long").alias("width"))
 
 
 @query(f"with {FRAMES} select video, frame_idx, round(frame_idx / 20.0, 6)::double as ts from fr")
